@@ -41,13 +41,12 @@ def alert_rows(
 ) -> DataFrame:
     """Alerts of the months from ``min_date`` on.
 
-    With ``warm_up`` the month before ``min_date`` is read too, so that the first month
-    has a trend; without it the first month of every range counts as stable.
+    With ``warm_up`` earlier months are read too, so that the first month of the range has
+    a trend even where the month before it is missing; gold holds one row per province and
+    month, which keeps that cheap. Without it the first month of every range is stable.
     """
     start = None if min_date is None else F.lit(min_date).cast("date")
-    rows = gold
-    if start is not None:
-        rows = gold.where(F.col("periodo_date") >= (F.add_months(start, -1) if warm_up else start))
+    rows = gold if start is None or warm_up else gold.where(F.col("periodo_date") >= start)
     monthly = rows.groupBy(
         F.col("PROVINCIA").alias("provincia"), F.col("ANIO").alias("anio"), F.col("MES").alias("mes")
     ).agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # --- fixed values: codes and names as the statistics service publishes them ---
 COUNTRY_NAMES = {
@@ -198,4 +199,5 @@ COUNTRY_NAMES = {
 
 def country_dimension(spark: SparkSession) -> DataFrame:
     """The table as a two-column frame, small enough for a broadcast join."""
-    return spark.createDataFrame(list(COUNTRY_NAMES.items()), "REF_AREA string, `País` string")
+    pairs = F.create_map(*[F.lit(text) for pair in COUNTRY_NAMES.items() for text in pair])
+    return spark.range(1).select(F.explode(pairs).alias("REF_AREA", "País"))
