@@ -10,8 +10,11 @@ WHITESPACE = (
     " \t\n\x0b\x0c\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-# '1.5d' and '2f' are Java number literals; a data file that holds them holds text
-_JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"
+# Shapes of text that may be cast. Testing the shape first matters: a cast that fails inside
+# ``try_cast`` builds a Java exception, which costs many times more than the test and does
+# not scale over threads. It also keeps Java literals such as '1.5d' from passing as numbers.
+_DOUBLE = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf(?:inity)?))\s*$"
+_INTEGER = r"^\s*[+-]?\d+\s*$"
 
 FREQUENCY_LABELS = {"A": "Anual", "M": "Mensual", "Q": "Trimestral"}  # fixed values
 UNKNOWN_FREQUENCY = "Desconocido"
@@ -19,35 +22,46 @@ UNKNOWN_FREQUENCY = "Desconocido"
 
 def clean_text(c: Column) -> Column:
     """Strip white space of every kind, not just blanks, from both ends."""
-    return F.trim(c, F.lit(WHITESPACE))
+    first, last = F.substring(c, 1, 1), F.substring(c, -1, 1)
+    # most values start and end with a plain visible character and need no trimming
+    return F.when(first.between("!", "~") & last.between("!", "~"), c).otherwise(
+        F.trim(c, F.lit(WHITESPACE))
+    )
 
 
 def to_double(c: Column) -> Column:
     """Text to double; whatever is not a number becomes NULL."""
-    return F.when(~c.rlike(_JAVA_SUFFIX), c.try_cast("double"))
+    return F.when(c.rlike(_DOUBLE), c.try_cast("double"))
 
 
 def to_long(c: Column) -> Column:
     """Text to bigint; fractions and other text become NULL."""
-    return c.try_cast("bigint")
+    return F.when(c.rlike(_INTEGER), c.try_cast("bigint"))
 
 
 def to_int(c: Column) -> Column:
-    return c.try_cast("int")
+    return F.when(c.rlike(_INTEGER), c.try_cast("int"))
 
 
-def money_strict(c: Column) -> Column:
-    """Drop thousands commas and dollar signs, then cast. NULL stays NULL."""
-    return to_double(F.translate(c, ",$", ""))
+def strip_strict(c: Column) -> Column:
+    """Drop thousands commas and dollar signs. NULL stays NULL."""
+    return F.translate(c, ",$", "")
 
 
-def money_lenient(c: Column) -> Column:
-    """Keep only digits, dots and minus signs, then cast. NULL counts as zero.
+def strip_lenient(c: Column) -> Column:
+    """Keep only digits, dots and minus signs. NULL counts as zero.
 
-    An empty text stays NULL, and ``(12)`` or ``1e5`` lose their meaning: 12 and 15.
+    An empty text stays empty, and ``(12)`` or ``1e5`` lose their meaning: 12 and 15.
     """
-    kept = F.regexp_replace(F.coalesce(c, F.lit("0")), r"[^0-9.\-]", "")
-    return kept.try_cast("double")
+    return F.regexp_replace(F.coalesce(c, F.lit("0")), r"[^0-9.\-]", "")
+
+
+def money_strict(c: Column) -> Column:
+    return to_double(strip_strict(c))
+
+
+def money_lenient(c: Column) -> Column:
+    return to_double(strip_lenient(c))
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

@@ -47,7 +47,9 @@ def alert_rows(
     """
     start = None if min_date is None else F.lit(min_date).cast("date")
     rows = gold if start is None or warm_up else gold.where(F.col("periodo_date") >= start)
-    monthly = rows.groupBy(
+    # one shuffle by province serves the grouping, the distinct count and the window; a
+    # province has as many rows here as the calendar has months
+    monthly = rows.repartition("PROVINCIA").groupBy(
         F.col("PROVINCIA").alias("provincia"), F.col("ANIO").alias("anio"), F.col("MES").alias("mes")
     ).agg(
         F.avg("TASA_MORA").alias("tasa_mora_promedio"),

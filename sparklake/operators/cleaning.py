@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklake.functions import periods
-from sparklake.functions.scalars import clean_text, money_lenient, money_strict, to_double, to_int, to_long
+from sparklake.functions.scalars import clean_text, strip_lenient, strip_strict, to_double, to_int, to_long
 from sparklake.schemas import (
     LOAN_DOUBLES,
     LOAN_INTEGERS,
@@ -20,13 +18,7 @@ from sparklake.schemas import (
     SILVER_TEXT,
 )
 
-MONEY = {"cast": to_double, "strict": money_strict, "lenient": money_lenient}
-
-
-def _amount(df: DataFrame, name: str, clean: Callable[[Column], Column]) -> Column:
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return clean(F.col(name)).alias(name)
-    return F.col(name).cast("double").alias(name)
+MONEY = {"cast": None, "strict": strip_strict, "lenient": strip_lenient}
 
 
 def bronze_columns(df: DataFrame) -> DataFrame:
@@ -72,12 +64,20 @@ def silver_rows(
     ``money``: ``cast`` for clean numbers, ``strict`` to drop ``,`` and ``$`` (NULL stays
     NULL), ``lenient`` to drop everything but digits, dot and minus (NULL becomes 0).
     """
+    is_text = {f.name: isinstance(f.dataType, T.StringType) for f in df.schema}
+    strip = MONEY[money]
+    # stripped in a step of its own, so that the shape test and the cast share the result
+    dirty = [c for c in SILVER_AMOUNTS if is_text[c]] if strip else []
+    stripped = df.withColumns({c: strip(F.col(c)) for c in dirty})
     text = [clean_text(F.col(c)).alias(c) for c in SILVER_TEXT]
-    amounts = [_amount(df, c, MONEY[money]) for c in SILVER_AMOUNTS]
-    typed = df.select(
+    amounts = [
+        (to_double(F.col(c)) if is_text[c] else F.col(c).cast("double")).alias(c) for c in SILVER_AMOUNTS
+    ]
+    count = F.col("cantidadCredito")
+    typed = stripped.select(
         *text,
         *amounts,
-        to_long(F.col("cantidadCredito")).alias("cantidadCredito"),
+        (to_long(count) if is_text["cantidadCredito"] else count.cast("bigint")).alias("cantidadCredito"),
         F.col("dt_captura").cast("date").alias("dt_captura"),
     )
     dated = typed.withColumn("periodo_date", periods.parse_period(F.col("periodo"), formats))

@@ -45,7 +45,7 @@ def _plain_time(df: DataFrame) -> DataFrame:
     return df.withColumn("fecha", F.col("fecha").cast("timestamp_ntz"))
 
 
-_MS_SQL = "make_timestamp(epoch_ms(ts) * 1000)"
+_MS_SQL = "CAST(date_trunc('milliseconds', ts) AS TIMESTAMP)"
 
 
 @query("json_series_fixed", f"SELECT {_MS_SQL} AS fecha, value AS valor FROM events")

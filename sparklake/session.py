@@ -19,6 +19,9 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # the JVM never compiles a method above 8000 bytes; a wide cleaning projection in one
+    # such method runs interpreted, several times slower than split into small ones
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

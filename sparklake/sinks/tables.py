@@ -30,24 +30,33 @@ def write_partitions(
     sort_by: list[str] | None = None,
     mode: str = "overwrite",
 ) -> int:
-    """Write ``df`` partitioned and clustered; returns the number of rows written.
+    """Write ``df`` partitioned and clustered; returns the number of rows written."""
+    return _write(df, path, partition_by, sort_by, mode)["rows"]
+
+
+def _write(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, mode: str) -> dict:
+    """The write itself; returns the row count and the values of the first partition column.
 
     The rebalance keeps one partition value together as long as it is small and splits it
     over several tasks when it is not, so a month that holds a third of the rows is
-    written by many tasks. Rows are counted in the same pass.
+    written by many tasks. Rows and partition values (as many as the table has folders)
+    are gathered in the same pass.
     """
     metrics = Observation()
+    first = F.col(f"`{partition_by[0]}`").cast("string")
     laid_out = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*partition_by, *sort_by)
-    counted = laid_out.observe(metrics, F.count(F.lit(1)).alias("rows"))
+    counted = laid_out.observe(
+        metrics, F.count(F.lit(1)).alias("rows"), F.collect_set(first).alias("values")
+    )
     (
         counted.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
-    return metrics.get["rows"]
+    return metrics.get
 
 
 def upsert(
@@ -89,11 +98,7 @@ def replace_from(
     are removed afterwards, so running it again repairs an interrupted run.
     """
     before = {v for v in files.partition_values(spark, path, partition) if v >= start}
-    staged, rows = stage(spark, fresh, [partition])
-    now = set(files.partition_values(spark, staged, partition))
-    if rows:
-        write_partitions(spark.read.schema(fresh.schema).parquet(staged), path, [partition], sort_by)
-    for value in before - now:
+    written = _write(fresh, path, [partition], sort_by, "overwrite")
+    for value in before - set(written["values"]):
         files.delete(spark, f"{path}/{partition}={value}")
-    files.delete(spark, staged)
-    return rows
+    return written["rows"]
