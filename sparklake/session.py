@@ -37,6 +37,8 @@ def build_session(
     take about (bytes shuffled / 128 MB); locally about the number of cores.
     """
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # call sites of every column expression help while debugging and cost time in jobs
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
