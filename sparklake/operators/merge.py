@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _same_key(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k] == right[k] for k in key])
-
-
 def upserted(target: DataFrame, source: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``source``, and the rows of ``target`` whose key ``source`` does not have.
 
-    A NULL in a key matches nothing. ``source`` must hold each key once.
+    A NULL in a key matches nothing. ``source`` must hold each key once. A full outer join
+    evaluates ``source`` a single time, and uses the partitioning an aggregation by the
+    same key left behind.
     """
-    untouched = target.join(source.select(*key), key, "left_anti")
-    return source.unionByName(untouched.select(*source.columns))
+    columns = source.columns
+    old = target.select(*key, F.struct(*columns).alias("_old"))
+    new = source.select(*key, F.struct(*columns).alias("_new"))
+    joined = old.join(new, key, "full_outer")
+    return joined.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
 
 
 def range_replaced(target: DataFrame, fresh: DataFrame, row_date: Column, start) -> DataFrame:

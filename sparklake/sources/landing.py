@@ -49,7 +49,7 @@ def read_text_csv(
     sep: str = ",",
     schema=None,
 ) -> DataFrame:
-    """All-text CSV scan with the source file beside the columns.
+    """CSV scan, all text unless ``schema`` says otherwise, with the source file beside it.
 
     ``encoding="auto"`` reads bytes one to one and decodes every value as UTF-8 where it
     is valid UTF-8 and as ISO-8859-1 otherwise, in the same pass over the data.
@@ -63,7 +63,8 @@ def read_text_csv(
     if not auto:
         return raw.select("*", lineage)
     decoded = [
-        utf8_or_latin1(F.col(f"`{c}`")).alias(utf8_or_latin1_name(c)) for c in raw.columns
+        (utf8_or_latin1(F.col(f"`{c}`")) if dtype == "string" else F.col(f"`{c}`")).alias(utf8_or_latin1_name(c))
+        for c, dtype in raw.dtypes
     ]
     return raw.select(*decoded, lineage)
 

@@ -36,6 +36,14 @@ def test_jagged_rows_and_quotes(spark, tmp_path):
     assert rows[0].archivo_origen.endswith("a.csv")
 
 
+def test_typed_scan_with_another_separator(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("País;v\nPerú;1.5\nx;bad\n".encode("latin-1"))
+    rows = landing.read_text_csv(spark, str(tmp_path), "ISO-8859-1", ";", "`País` string, v double").collect()
+    assert [(r["País"], r.v) for r in rows] == [("Perú", 1.5), ("x", None)]
+    auto = landing.read_text_csv(spark, str(tmp_path), sep=";").collect()
+    assert [(r["País"], r.v) for r in auto] == [("Perú", "1.5"), ("x", "bad")]
+
+
 def test_other_header_raises_instead_of_shifting(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b\n1,2\n")
     (tmp_path / "b.csv").write_text("b,a\n2,1\n")
