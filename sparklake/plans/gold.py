@@ -84,7 +84,7 @@ def load_gold(
     stays in gold unless ``delete_missing`` replaces the months as a whole.
     """
     name, began = "silver_to_gold", audit.utc_now()
-    audit.log_event(spark, lake.log, name, audit.STARTED, "Iniciando procesamiento Silver → Gold", began)
+    audit.log_event(spark, lake.log, name, audit.STARTED, "inicio", began)
     try:
         since = start or first_month(spark, lake.gold)
         rows = gold_frame(spark, lake, since, end)
@@ -97,9 +97,9 @@ def load_gold(
         refresh_alerts(spark, lake, since)
     except Exception as error:
         audit.log_event(
-            spark, lake.log, name, audit.ERROR, f"Error en procesamiento: {error}", began, audit.utc_now()
+            spark, lake.log, name, audit.ERROR, f"fallo: {error}", began, audit.utc_now()
         )
         raise
-    message = f"Gold actualizado exitosamente. Filas: {count}. Desde período: {since.isoformat()}"
+    message = f"{count} filas desde {since.isoformat()}"
     audit.log_event(spark, lake.log, name, audit.SUCCESS, message, began, audit.utc_now(), count)
     return count

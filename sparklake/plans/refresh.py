@@ -35,19 +35,19 @@ def run_refresh(spark: SparkSession, lake: Lake, route: str = "bronze", mode: st
     steps = [
         (f"paso 1: {route.capitalize()} → Silver", lambda: load(spark, lake, mode)),
         ("paso 2: Silver → Gold", lambda: gold.load_gold(spark, lake)),
-        ("validaciones finales", lambda: check_quality(spark, lake)),
+        ("paso 3: calidad", lambda: check_quality(spark, lake)),
     ]
-    audit.log_event(spark, lake.log, name, audit.STARTED, "Iniciando actualización completa", start)
+    audit.log_event(spark, lake.log, name, audit.STARTED, "inicio", start)
     result = None
     try:
         for title, step in steps:
-            audit.log_event(spark, lake.log, name, audit.RUNNING, f"Ejecutando {title}", audit.utc_now())
+            audit.log_event(spark, lake.log, name, audit.RUNNING, title, audit.utc_now())
             result = step()
     except Exception as error:
-        audit.log_event(spark, lake.log, name, audit.ERROR, f"Error en pipeline: {error}", start, audit.utc_now())
+        audit.log_event(spark, lake.log, name, audit.ERROR, f"fallo: {error}", start, audit.utc_now())
         raise RuntimeError(f"Pipeline failed: {error}") from error
     end = audit.utc_now()
     seconds = int((end - start).total_seconds())
-    message = f"Actualización completa ejecutada exitosamente. Duración: {seconds} segundos"
+    message = f"terminado en {seconds} segundos"
     audit.log_event(spark, lake.log, name, audit.SUCCESS, message, start, end)
     return result[0]

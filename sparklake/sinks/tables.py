@@ -16,6 +16,9 @@ from sparklake.session import shared_dir
 from sparklake.sources import files
 
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a value
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table, or an empty frame with its schema before the first write."""
     if not files.exists(spark, path):
@@ -43,7 +46,7 @@ def _write(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str]
     are gathered in the same pass.
     """
     metrics = Observation()
-    first = F.col(f"`{partition_by[0]}`").cast("string")
+    first = F.coalesce(F.col(f"`{partition_by[0]}`").cast("string"), F.lit(NULL_FOLDER))
     laid_out = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
     if sort_by:
         laid_out = laid_out.sortWithinPartitions(*partition_by, *sort_by)
@@ -97,7 +100,8 @@ def replace_from(
     The partitions ``fresh`` holds are swapped in one job; the others from ``start`` on
     are removed afterwards, so running it again repairs an interrupted run.
     """
-    before = {v for v in files.partition_values(spark, path, partition) if v >= start}
+    listed = files.partition_values(spark, path, partition)
+    before = {v for v in listed if v >= start and v != NULL_FOLDER}
     written = _write(fresh, path, [partition], sort_by, "overwrite")
     for value in before - set(written["values"]):
         files.delete(spark, f"{path}/{partition}={value}")

@@ -44,6 +44,13 @@ def capture_dates(spark: SparkSession, base: str, key: str = "dt") -> list[dt.da
     return sorted(dt.date.fromisoformat(v) for v in values if re.fullmatch(r"\d{4}-\d{2}-\d{2}", v))
 
 
+def holds_data(spark: SparkSession, folder: str) -> bool:
+    """Whether Spark would find a file directly in ``folder``."""
+    fs, hadoop_path = _file_system(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile()]
+    return any(n[0] not in "._" for n in names)
+
+
 def latest_capture(spark: SparkSession, base: str, key: str = "dt") -> dt.date:
     dates = capture_dates(spark, base, key)
     if not dates:

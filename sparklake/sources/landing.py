@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklake.functions.encoding import utf8_or_latin1, utf8_or_latin1_name
+from sparklake.sources import files
 
 SOURCE_FILE = "archivo_origen"
 CAPTURE_DATE = "dt_captura"
@@ -72,9 +73,20 @@ def read_text_csv(
 def read_captures(
     spark: SparkSession, base: str, dates: list[dt.date], encoding: str = "auto"
 ) -> DataFrame:
-    """Rows of the given ``dt=`` folders, with the date taken from the file path."""
-    paths = [f"{base}/dt={d.isoformat()}" for d in dates]
-    raw = read_text_csv(spark, paths, encoding)
+    """Rows of the given ``dt=`` folders, with the date taken from the file path.
+
+    Captures may differ in their columns: those with the same header are scanned together
+    and the scans are stacked by name. Only the first line of each capture is read for that.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for day in dates:
+        path = f"{base}/dt={day.isoformat()}"
+        if files.holds_data(spark, path):
+            header = csv_reader(spark.read, "ISO-8859-1").csv(path).columns
+            by_header.setdefault(tuple(header), []).append(path)
+    if not by_header:
+        raise FileNotFoundError(f"no files in the captures {dates} of {base}")
+    raw = concat_pieces([read_text_csv(spark, paths, encoding) for paths in by_header.values()])
     return raw.withColumn(CAPTURE_DATE, path_date(F.col(SOURCE_FILE)))
 
 
@@ -97,8 +109,8 @@ def read_partitioned(spark: SparkSession, base: str, view: str | None = None) ->
 
 def file_listing(spark: SparkSession, base: str) -> DataFrame:
     """One row per file below ``base``; only the paths are read, never the contents."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    return files.select("path")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+    return found.select("path")
 
 
 def latest_loaded_period(listing: DataFrame, path: str = "path") -> DataFrame:

@@ -62,6 +62,19 @@ def test_both_encodings_in_one_capture(spark, tmp_path):
     assert sorted(r.filas for r in per_file) == [1, 1]
 
 
+def test_captures_with_different_headers_are_stacked_by_name(spark, tmp_path):
+    base = str(tmp_path)
+    land(base, "2024-01-01", [{"entidad": "A", "deuda": "1"}], columns=["entidad", "deuda"])
+    land(base, "2024-02-01", [{"deuda": "2", "entidad": "B", "__periodo": "2024-01"}], columns=["deuda", "entidad", "__periodo"])
+    (tmp_path / "dt=2024-03-01").mkdir()
+    rows = landing.read_captures(spark, base, files.capture_dates(spark, base)).collect()
+    assert {(r.entidad, r.deuda, r["__periodo"], r.dt_captura.month) for r in rows} == {
+        ("A", "1", None, 1), ("B", "2", "2024-01", 2),
+    }
+    with pytest.raises(FileNotFoundError):
+        landing.read_captures(spark, base, [D(2024, 3, 1)])
+
+
 def test_latest_loaded_period_reads_only_names(spark, tmp_path):
     for day, name in (("2024-01-05", "consolidado_x.csv"), ("2024-03-05", "incremental_x.csv"), ("2024-02-05", "consolidado_y.csv")):
         folder = tmp_path / f"dt={day}"
