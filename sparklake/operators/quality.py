@@ -23,19 +23,21 @@ def composite_key(province: str, month: str) -> Column:
     return F.concat(F.col(province), F.lit("_"), F.date_format(month, "yyyy-MM"))
 
 
+def _both(province: str, month: str) -> Column:
+    return F.col(province).isNotNull() & F.col(month).isNotNull()
+
+
 def silver_checks(silver: DataFrame) -> DataFrame:
     """Invalid periods, negative amounts and the number of province-month pairs."""
-    usable = F.col("provincia").isNotNull() & F.col("periodo_date").isNotNull()
-    key = F.when(usable, composite_key("provincia", "periodo_date"))
-    # group first: the distinct keys are few, and the counts ride along
-    grouped = silver.groupBy(key.alias("_key")).agg(
+    # group first: the pairs are few, and the counts ride along
+    grouped = silver.groupBy("provincia", F.trunc("periodo_date", "MM").alias("_month")).agg(
         F.count_if(F.col("flg_periodo_invalido") == 1).alias("_bad"),
         F.count_if(F.col("flg_importe_negativo") == 1).alias("_negative"),
     )
     return grouped.agg(
         F.coalesce(F.sum("_bad"), F.lit(0)).alias("periodos_invalidos"),
         F.coalesce(F.sum("_negative"), F.lit(0)).alias("importes_negativos"),
-        F.count("_key").alias("claves_silver"),
+        F.count_if(_both("provincia", "_month")).alias("claves_silver"),
     )
 
 
@@ -43,9 +45,12 @@ def gold_checks(gold: DataFrame, macro_since: str = MACRO_SINCE) -> DataFrame:
     """Number of province-month pairs, and rows without inflation since ``macro_since``."""
     recent = F.col("periodo_date") >= F.lit(macro_since).cast("date")
     missing = (F.col("INFLACION") == 0) | F.col("INFLACION").isNull()
-    return gold.agg(
-        F.count_distinct(composite_key("PROVINCIA", "periodo_date")).alias("claves_gold"),
-        F.count_if(recent & missing).alias("sin_inflacion"),
+    grouped = gold.groupBy("PROVINCIA", F.trunc("periodo_date", "MM").alias("_month")).agg(
+        F.count_if(recent & missing).alias("_missing")
+    )
+    return grouped.agg(
+        F.count_if(_both("PROVINCIA", "_month")).alias("claves_gold"),
+        F.coalesce(F.sum("_missing"), F.lit(0)).alias("sin_inflacion"),
     )
 
 

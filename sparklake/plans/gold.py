@@ -23,7 +23,7 @@ from sparklake.schemas import (
 from sparklake.sinks import audit
 from sparklake.sinks.tables import read_table, replace_from, upsert
 from sparklake.sources import files
-from sparklake.sources.landing import read_partitioned
+from sparklake.sources.landing import CAPTURE_DATE, read_partitioned
 
 PARTITION = "periodo_date"
 ALERT_PARTITION = "periodo_ym"
@@ -43,10 +43,15 @@ def first_month(spark: SparkSession, path: str) -> dt.date:
 
 
 def macro_table(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
-    """All captures of a bronze series; empty while there is none."""
+    """The newest capture of a bronze series; empty while there is none.
+
+    Every capture holds the whole series, so averaging over several would mix revised
+    values with old ones. The folder names say which is newest, and only that one is read.
+    """
     path = lake.macro_bronze(dataset)
-    if files.exists(spark, path):
-        return read_partitioned(spark, path)
+    captures = files.capture_dates(spark, path, CAPTURE_DATE)
+    if captures:
+        return read_partitioned(spark, path).where(F.col(CAPTURE_DATE) == F.lit(captures[-1]))
     return spark.createDataFrame([], ", ".join(f"{c} string" for c in MACRO_COLUMNS[dataset]))
 
 

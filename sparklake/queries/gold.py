@@ -74,7 +74,7 @@ def lookback_gold(spark, sf_dir):
 )
 def gold_upsert(spark, sf_dir):
     """Months from 2000 on come from the source, older ones stay as the target has them."""
-    rows = _kpi(spark, sf_dir).select(*GOLD_KEY, "DEUDACAPITAL", "TASA_MORA")
+    rows = _rates_with_capital(spark, sf_dir).select(*GOLD_KEY, "DEUDACAPITAL", "TASA_MORA")
     target = rows.withColumns({"DEUDACAPITAL": F.lit(-1.0), "actualizado": F.lit(False)})
     source = rows.where(F.col("periodo_date") >= F.lit(_UPSERT_FROM)).withColumn("actualizado", F.lit(True))
     return merge.upserted(target, source, GOLD_KEY)

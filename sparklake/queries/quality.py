@@ -59,7 +59,8 @@ def _silver(spark, sf_dir) -> DataFrame:
 def _gold(spark, sf_dir) -> DataFrame:
     month = F.to_date(F.trunc("o_orderdate", "MM"))
     grouped = _located(spark, sf_dir).groupBy(F.col("n_name").alias("PROVINCIA"), month.alias("periodo_date"))
-    urgent = F.when(F.min("o_orderpriority") == "1-URGENT", 1).otherwise(0)
+    # a maximum of numbers stays in the hash aggregate; a minimum of texts would sort all rows
+    urgent = F.max(F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0))
     return grouped.agg(urgent.alias("INFLACION"))
 
 

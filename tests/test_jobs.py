@@ -134,6 +134,20 @@ def test_refresh_runs_all_steps_and_reports_quality(spark, lake):
     assert full[0].status == "SUCCESS" and full[-1].status == "STARTED"
 
 
+def test_refresh_from_landing_with_the_newest_macro_capture(spark, lake):
+    land(lake.loans_landing, "2024-02-10", [landing_line(), landing_line(periodo="2024-02")])
+    columns = ["fecha", "tc_venta", "tc_compra"]
+    for capture, rate in (("2024-02-01", "50"), ("2024-03-01", "60")):
+        land(lake.macro_landing("tipo_cambio"), capture, [{"fecha": f"2024-0{m}-05", "tc_venta": rate, "tc_compra": "40"} for m in (1, 2)], columns=columns)
+        land(lake.macro_landing("inflacion_12m"), capture, [{"Fecha": f"2024-0{m}", "inflacion": "3.5"} for m in (1, 2)], columns=["Fecha", "inflacion"])
+        bronze.load_all_macro(spark, lake)
+    assert refresh.run_refresh(spark, lake, "landing", "upsert") == "SUCCESS"
+    rows = read_table(spark, lake.gold, GOLD_SCHEMA).collect()
+    assert {(r.MES, r.INFLACION, r.TC_VENTA, r.TC_COMPRA) for r in rows} == {(1, 3.5, 60.0, 40.0), (2, 3.5, 60.0, 40.0)}
+    assert refresh.run_refresh(spark, lake, "landing", "upsert") == "SUCCESS"  # nothing new: same result
+    assert read_table(spark, lake.gold, GOLD_SCHEMA).count() == 2
+
+
 def test_refresh_logs_errors_and_raises(spark, lake):
     with pytest.raises(RuntimeError, match="Pipeline failed"):
         refresh.run_refresh(spark, lake)  # there is no bronze table
