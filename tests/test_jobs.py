@@ -59,6 +59,9 @@ def test_landing_to_silver_append_and_upsert(spark, lake, tmp_path):
     land(lake.loans_landing, "2024-03-10", [landing_line(deuda="3")])
     silver.load_from_landing(spark, lake)
     assert read_table(spark, lake.silver, SILVER_SCHEMA).where("periodo = '2024-01' and entidad = 'E1'").count() == 2
+    done = audit.read_log(spark, lake.log).where("status = 'SUCCESS'").orderBy("created_at").first()
+    assert done.rows_processed == 3 and done.message.startswith("3 filas leídas, 3 filas nuevas, 0 sin período válido")
+    assert "2023-01-01 a 2024-01-01, capturas: 2024-01-10" in done.message
     assert statuses(spark, lake, "landing_to_silver")[:5] == ["STARTED", "PROCESSING", "SUCCESS", "STARTED", "NO_NEW_DATA"]
 
 
