@@ -55,16 +55,26 @@ def macro_table(spark: SparkSession, lake: Lake, dataset: str) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"{c} string" for c in MACRO_COLUMNS[dataset]))
 
 
-def gold_frame(spark: SparkSession, lake: Lake, start: dt.date, end: dt.date | None = None) -> DataFrame:
-    """Gold rows of the months from ``start`` (to ``end``), pruned to silver's folders."""
+def gold_frame(
+    spark: SparkSession,
+    lake: Lake,
+    start: dt.date,
+    end: dt.date | None = None,
+    scales: dict[str, int] | None = None,
+    macro_scale: int | None = None,
+) -> DataFrame:
+    """Gold rows of the months from ``start`` (to ``end``), pruned to silver's folders.
+
+    ``scales`` and ``macro_scale`` name the decimals of the inputs, see ``stable_sum``.
+    """
     silver = read_table(spark, lake.silver, SILVER_SCHEMA)
     silver = silver.where(F.col("periodo_ym") >= start.year * 100 + start.month)
     if end is not None:
         silver = silver.where(F.col("periodo_ym") <= end.year * 100 + end.month)
     macro_since = months_back(start, 1).isoformat()
-    inflation = monthly_mean(macro_table(spark, lake, "inflacion_12m"), since=macro_since)
-    exchange = monthly_rates(macro_table(spark, lake, "tipo_cambio"), since=macro_since)
-    return gold_rows(silver, inflation, exchange, start.isoformat())
+    inflation = monthly_mean(macro_table(spark, lake, "inflacion_12m"), since=macro_since, scale=macro_scale)
+    exchange = monthly_rates(macro_table(spark, lake, "tipo_cambio"), since=macro_since, scale=macro_scale)
+    return gold_rows(silver, inflation, exchange, start.isoformat(), scales)
 
 
 def refresh_alerts(spark: SparkSession, lake: Lake, start: dt.date, warm_up: bool = True) -> int:
@@ -82,6 +92,8 @@ def load_gold(
     start: dt.date | None = None,
     end: dt.date | None = None,
     delete_missing: bool = False,
+    scales: dict[str, int] | None = None,
+    macro_scale: int | None = None,
 ) -> int:
     """Upsert the recent months into gold, then refresh their alerts.
 
@@ -92,7 +104,7 @@ def load_gold(
     audit.log_event(spark, lake.log, name, audit.STARTED, "inicio", began)
     try:
         since = start or first_month(spark, lake.gold)
-        rows = gold_frame(spark, lake, since, end)
+        rows = gold_frame(spark, lake, since, end, scales, macro_scale)
         if delete_missing and end is None:
             count = replace_from(spark, rows, lake.gold, PARTITION, since.isoformat(), ["PROVINCIA"])
         else:

@@ -142,31 +142,19 @@ def _gold_lake(spark, sf_dir: str) -> Lake:
     return lake
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    """Sums and means rounded to where the order of addition does not show."""
-    digits = {g: 2 for g in ("DEUDACAPITAL", "DEUDAVENCIDA", "VALORDESEMBOLSO", "INFLACION", "TC_VENTA", "TC_COMPRA")}
-    digits |= {g: 4 for g in ("DEUDAVENCIDADE31A90DIAS", "VALORPROVISIONCAPITALYRENDIMIENTO", "DEUDA", "VALORGARANTIA")}
-    digits |= {g: 6 for g in ("TASA_MORA", "COBERTURA_GARANTIA", "PROPORCION_PROVISIONADA")}
-    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
-
-
-_ROUNDED_SQL = ", ".join(
-    {
-        **{c: c for c in GOLD_COLUMNS},
-        **{c: f"round({c}, 2) AS {c}" for c in ("DEUDACAPITAL", "DEUDAVENCIDA", "VALORDESEMBOLSO", "INFLACION", "TC_VENTA", "TC_COMPRA")},
-        **{c: f"round({c}, 4) AS {c}" for c in ("DEUDAVENCIDADE31A90DIAS", "VALORPROVISIONCAPITALYRENDIMIENTO", "DEUDA", "VALORGARANTIA")},
-        **{c: f"round({c}, 6) AS {c}" for c in ("TASA_MORA", "COBERTURA_GARANTIA", "PROPORCION_PROVISIONADA")},
-    }.values()
-)
+def _load_twice(spark, lake: Lake) -> None:
+    """All months into empty gold, then the two-month look-back over what that wrote."""
+    exact = {"scales": views.MEASURE_SCALES, "macro_scale": 2}
+    gold.load_gold(spark, lake, start=dt.date(1990, 1, 1), **exact)
+    gold.load_gold(spark, lake, **exact)
 
 
-@query("gold_table", f"WITH {views.GOLD_SQL} SELECT {_ROUNDED_SQL} FROM gold")
+@query("gold_table", f"WITH {views.GOLD_SQL} SELECT {', '.join(GOLD_COLUMNS)} FROM gold")
 def gold_table(spark, sf_dir):
-    """The gold job on empty gold, then its two-month look-back over what it wrote."""
+    """The gold job, run for everything and then again for the last months."""
     lake = _gold_lake(spark, sf_dir)
-    gold.load_gold(spark, lake, start=dt.date(1990, 1, 1))
-    gold.load_gold(spark, lake)
-    return _rounded(read_table(spark, lake.gold, GOLD_SCHEMA).select(*GOLD_COLUMNS))
+    _load_twice(spark, lake)
+    return read_table(spark, lake.gold, GOLD_SCHEMA).select(*GOLD_COLUMNS)
 
 
 @query(
@@ -174,7 +162,7 @@ def gold_table(spark, sf_dir):
     f"""WITH {views.GOLD_SQL}, a AS (
       SELECT PROVINCIA AS provincia, ANIO AS anio, MES AS mes, TASA_MORA AS t,
         lag(TASA_MORA) OVER (PARTITION BY PROVINCIA ORDER BY ANIO, MES) AS p FROM gold)
-    SELECT provincia, anio, mes, round(t, 6) AS tasa_mora_promedio,
+    SELECT provincia, anio, mes, t AS tasa_mora_promedio,
       CASE WHEN t > p THEN 'SUBIENDO' WHEN t < p THEN 'BAJANDO' ELSE 'ESTABLE' END AS tendencia_mora,
       CASE WHEN t > 0.15 THEN 'ALTO' WHEN t > 0.08 THEN 'MEDIO' ELSE 'BAJO' END AS nivel_alerta,
       CAST(1 AS BIGINT) AS entidades_afectadas FROM a""",
@@ -182,10 +170,8 @@ def gold_table(spark, sf_dir):
 def alerts_table(spark, sf_dir):
     """The alert table after a full run and a second run over the last months."""
     lake = _gold_lake(spark, sf_dir)
-    gold.load_gold(spark, lake, start=dt.date(1990, 1, 1))
-    gold.load_gold(spark, lake)
-    stored = read_table(spark, lake.alerts, ALERT_SCHEMA).drop("fecha_calculo", gold.ALERT_PARTITION)
-    return stored.withColumn("tasa_mora_promedio", F.round("tasa_mora_promedio", 6))
+    _load_twice(spark, lake)
+    return read_table(spark, lake.alerts, ALERT_SCHEMA).drop("fecha_calculo", gold.ALERT_PARTITION)
 
 
 @query(
