@@ -14,6 +14,7 @@ WHITESPACE = (
 # ``try_cast`` builds a Java exception, which costs many times more than the test and does
 # not scale over threads. It also keeps Java literals such as '1.5d' from passing as numbers.
 _DOUBLE = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf(?:inity)?))\s*$"
+_PLAIN = r"^-?\d+(?:\.\d*)?$"
 _INTEGER = r"^\s*[+-]?\d+\s*$"
 
 FREQUENCY_LABELS = {"A": "Anual", "M": "Mensual", "Q": "Trimestral"}  # fixed values
@@ -43,25 +44,22 @@ def to_int(c: Column) -> Column:
     return F.when(c.rlike(_INTEGER), c.try_cast("int"))
 
 
-def strip_strict(c: Column) -> Column:
-    """Drop thousands commas and dollar signs. NULL stays NULL."""
-    return F.translate(c, ",$", "")
-
-
-def strip_lenient(c: Column) -> Column:
-    """Keep only digits, dots and minus signs. NULL counts as zero.
-
-    An empty text stays empty, and ``(12)`` or ``1e5`` lose their meaning: 12 and 15.
-    """
-    return F.regexp_replace(F.coalesce(c, F.lit("0")), r"[^0-9.\-]", "")
+def _money(c: Column, stripped: Column) -> Column:
+    """Cast a plain number as it is; strip only the values that need it."""
+    return F.when(c.rlike(_PLAIN), c.try_cast("double")).otherwise(to_double(stripped))
 
 
 def money_strict(c: Column) -> Column:
-    return to_double(strip_strict(c))
+    """Drop thousands commas and dollar signs, then cast. NULL stays NULL."""
+    return _money(c, F.translate(c, ",$", ""))
 
 
 def money_lenient(c: Column) -> Column:
-    return to_double(strip_lenient(c))
+    """Keep only digits, dots and minus signs, then cast. NULL counts as zero.
+
+    An empty text becomes NULL, and ``(12)`` or ``1e5`` lose their meaning: 12 and 15.
+    """
+    return _money(c, F.regexp_replace(F.coalesce(c, F.lit("0")), r"[^0-9.\-]+", ""))
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
