@@ -44,22 +44,27 @@ def to_int(c: Column) -> Column:
     return F.when(c.rlike(_INTEGER), c.try_cast("int"))
 
 
-def _money(c: Column, stripped: Column) -> Column:
-    """Cast a plain number as it is; strip only the values that need it."""
-    return F.when(c.rlike(_PLAIN), c.try_cast("double")).otherwise(to_double(stripped))
+def strip_strict(c: Column) -> Column:
+    """Drop thousands commas and dollar signs. NULL stays NULL."""
+    return F.translate(c, ",$", "")
+
+
+def strip_lenient(c: Column) -> Column:
+    """Keep only digits, dots and minus signs; plain numbers pass as they are.
+
+    NULL counts as zero, an empty text stays empty, and ``(12)`` or ``1e5`` lose their
+    meaning: 12 and 15.
+    """
+    kept = F.regexp_replace(F.coalesce(c, F.lit("0")), r"[^0-9.\-]+", "")
+    return F.when(c.rlike(_PLAIN), c).otherwise(kept)
 
 
 def money_strict(c: Column) -> Column:
-    """Drop thousands commas and dollar signs, then cast. NULL stays NULL."""
-    return _money(c, F.translate(c, ",$", ""))
+    return to_double(strip_strict(c))
 
 
 def money_lenient(c: Column) -> Column:
-    """Keep only digits, dots and minus signs, then cast. NULL counts as zero.
-
-    An empty text becomes NULL, and ``(12)`` or ``1e5`` lose their meaning: 12 and 15.
-    """
-    return _money(c, F.regexp_replace(F.coalesce(c, F.lit("0")), r"[^0-9.\-]+", ""))
+    return to_double(strip_lenient(c))
 
 
 def ratio_or_zero(numerator: Column, denominator: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklake.functions import periods
-from sparklake.functions.scalars import clean_text, money_lenient, money_strict, to_double, to_int, to_long
+from sparklake.functions.scalars import clean_text, strip_lenient, strip_strict, to_double, to_int, to_long
 from sparklake.schemas import (
     LOAN_DOUBLES,
     LOAN_INTEGERS,
@@ -18,7 +18,7 @@ from sparklake.schemas import (
     SILVER_TEXT,
 )
 
-MONEY = {"cast": to_double, "strict": money_strict, "lenient": money_lenient}
+MONEY = {"cast": None, "strict": strip_strict, "lenient": strip_lenient}
 
 
 def bronze_columns(df: DataFrame) -> DataFrame:
@@ -65,13 +65,16 @@ def silver_rows(
     NULL), ``lenient`` to drop everything but digits, dot and minus (NULL becomes 0).
     """
     is_text = {f.name: isinstance(f.dataType, T.StringType) for f in df.schema}
-    amount = MONEY[money]
+    strip = MONEY[money]
+    # stripped in a step of its own, so that the shape test and the cast share the result
+    dirty = [c for c in SILVER_AMOUNTS if is_text[c]] if strip else []
+    stripped = df.withColumns({c: strip(F.col(c)) for c in dirty}) if dirty else df
     text = [clean_text(F.col(c)).alias(c) for c in SILVER_TEXT]
     amounts = [
-        (amount(F.col(c)) if is_text[c] else F.col(c).cast("double")).alias(c) for c in SILVER_AMOUNTS
+        (to_double(F.col(c)) if is_text[c] else F.col(c).cast("double")).alias(c) for c in SILVER_AMOUNTS
     ]
     count = F.col("cantidadCredito")
-    typed = df.select(
+    typed = stripped.select(
         *text,
         *amounts,
         (to_long(count) if is_text["cantidadCredito"] else count.cast("bigint")).alias("cantidadCredito"),
