@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,12 +79,13 @@ def read_captures(
     Captures may differ in their columns: those with the same header are scanned together
     and the scans are stacked by name. Only the first line of each capture is read for that.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for day in dates:
-        path = f"{base}/dt={day.isoformat()}"
-        if files.holds_data(spark, path):
-            header = csv_reader(spark.read, "ISO-8859-1").csv(path).columns
-            by_header.setdefault(tuple(header), []).append(path)
+    folders = [f"{base}/dt={day.isoformat()}" for day in dates]
+    folders = [f for f in folders if files.holds_data(spark, f)]
+    with ThreadPoolExecutor(8) as pool:
+        headers = pool.map(lambda f: tuple(csv_reader(spark.read, "ISO-8859-1").csv(f).columns), folders)
+        by_header: dict[tuple[str, ...], list[str]] = {}
+        for folder, header in zip(folders, headers):
+            by_header.setdefault(header, []).append(folder)
     if not by_header:
         raise FileNotFoundError(f"no files in the captures {dates} of {base}")
     raw = concat_pieces([read_text_csv(spark, paths, encoding) for paths in by_header.values()])
