@@ -25,36 +25,54 @@ from pyspark.sql import functions as F
 
 from sparklake.llm.arrays import ALNUM, Words, hashes, mapped, slices
 
-BITS = 18  # words are hashed to so many bits
+BITS = 24  # words are hashed to so many bits; few of the values get a weight
 PREFIXES = (4, 5, 6)  # bytes of word beginnings, for stems that take many endings
 PREFIX_SALT = np.uint64(0x9E3779B97F4A7C15)
-LEAST_TEXTS, LEAST_Z = 5, 5.0  # texts that must hold a feature; standard deviations it must tell
+LEAST_TEXTS, LEAST_Z = 4, 4.0  # texts that must hold a feature; standard deviations it must tell
 POSITIVES, UNLABELLED = 4000, 12000
-EPOCHS, RATE, L2 = 150, 0.2, 1e-5
+EPOCHS, RATE = 200, 0.1
+RIDGE = 0.3  # penalty on the weights, shared among the positives
 
 
-def word_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashed words and word beginnings of each text, and where each text's begin."""
+def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The number of the text, and the hashed word or word beginning, of every occurrence."""
     words = Words(column, ALNUM)
-    shift, text = np.uint64(64 - BITS), words.text_of << BITS
-    keys = [text | (words.hash >> shift).astype(np.int64)]
+    shift, of = np.uint64(64 - BITS), words.text_of
+    texts, keys = [of], [(words.hash >> shift).astype(np.int64)]
     for size in PREFIXES:
         longer = words.end - words.start > size
         start = words.start[longer]
-        keys.append(text[longer] | (hashes(words.data, start, start + size) * PREFIX_SALT >> shift).astype(np.int64))
-    key = np.unique(np.concatenate(keys))
-    return key & ((1 << BITS) - 1), np.searchsorted(key >> BITS, np.arange(len(column) + 1))
+        texts.append(of[longer])
+        keys.append((hashes(words.data, start, start + size) * PREFIX_SALT >> shift).astype(np.int64))
+    return np.concatenate(texts), np.concatenate(keys)
+
+
+def word_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashed words and word beginnings of each text, and where each text's begin."""
+    text, key = _keys(column)
+    both = np.unique(text << BITS | key)
+    return both & ((1 << BITS) - 1), np.searchsorted(both >> BITS, np.arange(len(column) + 1))
 
 
 class Linear:
-    """A weight for each hashed word, and a bias."""
+    """Weights of the features that tell, and a bias."""
+
+    def __init__(self, features: np.ndarray, weights: np.ndarray, bias: float):
+        self.features, self.weights, self.bias = features, weights, bias
 
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
+    def table(self) -> np.ndarray:
+        """The place of each hashed feature in ``features``, -1 for the others."""
+        place = np.full(1 << BITS, -1, np.int32)
+        place[self.features] = np.arange(len(self.features))
+        return place
 
-    def margins(self, index: np.ndarray, first: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0.0], np.cumsum(self.weights[index])])
-        return total[first[1:]] - total[first[:-1]] + self.bias
+    def margins(self, column: pa.Array, table: np.ndarray) -> np.ndarray:
+        text, key = _keys(column)
+        place = table[key]
+        told = place >= 0
+        both = np.unique(text[told] * max(1, len(self.features)) + place[told])
+        text, place = both // max(1, len(self.features)), both % max(1, len(self.features))
+        return np.bincount(text, weights=self.weights[place], minlength=len(column)) + self.bias
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -76,6 +94,7 @@ def train(index: np.ndarray, first: np.ndarray, positive: np.ndarray, prior: flo
     (used, at), of = np.unique(index[keep], return_inverse=True), of[keep]
     w, moment, spread = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     w[-1] = np.log(prior / (1 - prior))
+    ridge = RIDGE / n_p
     for step in range(1, EPOCHS + 1):
         margin = np.bincount(of, weights=w[at], minlength=rows) + w[-1]
         p = _sigmoid(margin)
@@ -84,13 +103,11 @@ def train(index: np.ndarray, first: np.ndarray, positive: np.ndarray, prior: flo
         rest = as_negative[~positive].mean() - prior * as_negative[positive].mean()
         slope = np.where(positive, -prior * p / n_p, p / n_u)
         slope = -slope if rest < 0 else slope + np.where(positive, prior * (p - 1) / n_p, 0)
-        g = np.append(np.bincount(at, weights=slope[of], minlength=len(used)) + L2 * w[:-1], slope.sum())
+        g = np.append(np.bincount(at, weights=slope[of], minlength=len(used)) + ridge * w[:-1], slope.sum())
         moment = 0.9 * moment + 0.1 * g
         spread = 0.999 * spread + 0.001 * g * g
         w -= RATE * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-8)
-    weights = np.zeros(size)
-    weights[used] = w[:-1]
-    return Linear(weights, float(w[-1]))
+    return Linear(used, w[:-1], float(w[-1]))
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
@@ -129,9 +146,9 @@ def fit(
     order = [F.xxhash64("id"), F.col("id")]
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     confirmed = known.where("toxic = 1").select("id").distinct().orderBy(*order).limit(positives)
+    # unlabelled texts stand for all texts, so a confirmed one may be among them too
     others = rows.select("id").where(~held_out("id")).distinct().orderBy(*order).limit(unlabelled)
-    wanted = others.join(confirmed.select("id"), "id", "left_anti").withColumn("positive", F.lit(False))
-    wanted = wanted.union(confirmed.withColumn("positive", F.lit(True)))
+    wanted = others.withColumn("positive", F.lit(False)).union(confirmed.withColumn("positive", F.lit(True)))
     sample = mapped(rows.join(wanted, "id").select("positive", "text"), _extract, "positive boolean, words binary").collect()
     sample = sorted(sample, key=lambda r: (r[0], bytes(r[1])))  # the order of addition must not vary
     if not any(r[0] for r in sample):
@@ -144,11 +161,12 @@ def fit(
 def _scorer(model):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         linear: Linear | None = model.value
+        table = linear.table() if linear is not None else None
         for batch in slices(batches, "text"):
             if linear is None:
                 scores = np.zeros(batch.num_rows)
             else:
-                scores = _sigmoid(linear.margins(*word_features(batch.column("text"))))
+                scores = _sigmoid(linear.margins(batch.column("text"), table))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
 
     return work
