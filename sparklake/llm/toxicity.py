@@ -31,7 +31,7 @@ PREFIX_SALT = np.uint64(0x9E3779B97F4A7C15)
 LEAST_TEXTS, LEAST_Z = 4, 4.0  # texts that must hold a feature; standard deviations it must tell
 POSITIVES, UNLABELLED = 4000, 12000
 EPOCHS, RATE = 200, 0.1
-RIDGE = 0.3  # penalty on the weights, shared among the positives
+RIDGE = 0.2  # penalty on the weights, shared among the positives
 
 
 def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
