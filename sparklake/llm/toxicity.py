@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.arrays import ALNUM, Words, hashes, mapped, slices
+from sparklake.llm.arrays import ALNUM, Words, hashes, mapped, slices, stored
 
 BITS = 24  # words are hashed to so many bits; few of the values get a weight
 PREFIXES = (4, 5, 6)  # bytes of word beginnings, for stems that take many endings
@@ -79,35 +79,31 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def train(index: np.ndarray, first: np.ndarray, positive: np.ndarray, prior: float) -> Linear:
-    """Minimise the non-negative risk with logistic loss by Adam over the whole sample."""
-    rows, size = len(first) - 1, 1 << BITS
+def train(features: np.ndarray, index: np.ndarray, first: np.ndarray, positive: np.ndarray, prior: float) -> Linear:
+    """Minimise the non-negative risk with logistic loss by Adam over the whole sample.
+
+    ``index`` has the places in ``features`` of what each text holds, ``first`` where each
+    text's begin.
+    """
+    rows, size = len(first) - 1, len(features)
     of = np.repeat(np.arange(rows), np.diff(first))
     n_p, n_u = max(1, int(positive.sum())), max(1, int((~positive).sum()))
-    # features whose rates differ between positives and unlabelled by more than chance
-    held = np.bincount(index, weights=positive[of], minlength=size)
-    others = np.bincount(index, minlength=size) - held
-    rate = (held + others) / rows
-    z = (held / n_p - others / n_u) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n_p + 1 / n_u))
-    telling = (np.abs(z) >= LEAST_Z) & (held + others >= LEAST_TEXTS)
-    keep = telling[index]
-    (used, at), of = np.unique(index[keep], return_inverse=True), of[keep]
-    w, moment, spread = np.zeros(len(used) + 1), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    w, moment, spread = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     w[-1] = np.log(prior / (1 - prior))
     ridge = RIDGE / n_p
     for step in range(1, EPOCHS + 1):
-        margin = np.bincount(of, weights=w[at], minlength=rows) + w[-1]
+        margin = np.bincount(of, weights=w[index], minlength=rows) + w[-1]
         p = _sigmoid(margin)
         # loss as a negative is log(1 + e^m), with derivative p; as a positive log(1 + e^-m), p - 1
         as_negative = np.logaddexp(0, margin)
         rest = as_negative[~positive].mean() - prior * as_negative[positive].mean()
         slope = np.where(positive, -prior * p / n_p, p / n_u)
         slope = -slope if rest < 0 else slope + np.where(positive, prior * (p - 1) / n_p, 0)
-        g = np.append(np.bincount(at, weights=slope[of], minlength=len(used)) + ridge * w[:-1], slope.sum())
+        g = np.append(np.bincount(index, weights=slope[of], minlength=size) + ridge * w[:-1], slope.sum())
         moment = 0.9 * moment + 0.1 * g
         spread = 0.999 * spread + 0.001 * g * g
         w -= RATE * (moment / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-8)
-    return Linear(used, w[:-1], float(w[-1]))
+    return Linear(features, w[:-1], float(w[-1]))
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
@@ -123,6 +119,38 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(made, pa.binary())], ["positive", "words"])
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many positive and unlabelled texts of a batch hold each feature."""
+    for batch in batches:
+        words = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column("words")]
+        positive = batch.column("positive").to_numpy(zero_copy_only=False)
+        of = np.repeat(positive, [len(x) for x in words])
+        feature, at = np.unique(np.concatenate([*words, np.empty(0, np.int32)]), return_inverse=True)
+        held = np.bincount(at, weights=of, minlength=len(feature)).astype(np.int64)
+        others = np.bincount(at, minlength=len(feature)) - held
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (feature, held, others)], ["feature", "held", "others"])
+
+
+def _telling(counts: DataFrame, n_p: int, n_u: int) -> DataFrame:
+    """Features whose rates differ between positives and unlabelled by more than chance."""
+    held, others = F.col("held"), F.col("others")
+    rate = (held + others) / (n_p + n_u)
+    deviation = F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-12)) * (1 / n_p + 1 / n_u))
+    apart = F.abs(held / n_p - others / n_u) >= LEAST_Z * deviation
+    return counts.where(apart & (held + others >= LEAST_TEXTS)).select("feature")
+
+
+def _kept(features):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = features.value
+        for batch in batches:
+            words = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column("words")]
+            places = [np.flatnonzero(np.isin(known, x, assume_unique=True)).astype(np.int32).tobytes() for x in words]
+            yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(places, pa.binary())], ["positive", "words"])
+
+    return work
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -149,13 +177,21 @@ def fit(
     # unlabelled texts stand for all texts, so a confirmed one may be among them too
     others = rows.select("id").where(~held_out("id")).distinct().orderBy(*order).limit(unlabelled)
     wanted = others.withColumn("positive", F.lit(False)).union(confirmed.withColumn("positive", F.lit(True)))
-    sample = mapped(rows.join(wanted, "id").select("positive", "text"), _extract, "positive boolean, words binary").collect()
-    sample = sorted(sample, key=lambda r: (r[0], bytes(r[1])))  # the order of addition must not vary
-    if not any(r[0] for r in sample):
+    sample = mapped(rows.join(wanted, "id").select("positive", "text"), _extract, "positive boolean, words binary")
+    sample = stored(sample, "toxicity-sample")
+    sizes = dict(sample.groupBy("positive").count().collect())
+    if not sizes.get(True):
         return None
-    words = [np.frombuffer(r[1], np.int32) for r in sample]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in words])])
-    return train(np.concatenate(words), first, np.array([r[0] for r in sample]), prior)
+    counts = mapped(sample, _counted, "feature int, held bigint, others bigint")
+    counts = counts.groupBy("feature").agg(F.sum("held").alias("held"), F.sum("others").alias("others"))
+    # features that tell, and the sample's texts reduced to them: bounded by the sample's size
+    told = _telling(counts, sizes[True], max(1, sizes.get(False, 0))).collect()
+    features = np.sort(np.array([r[0] for r in told], np.int32))
+    reduced = mapped(sample, _kept(docs.sparkSession.sparkContext.broadcast(features)), "positive boolean, words binary")
+    found = sorted((r[0], bytes(r[1])) for r in reduced.collect())  # the order of addition must not vary
+    places = [np.frombuffer(x, np.int32) for _, x in found]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in places])])
+    return train(features, np.concatenate(places), first, np.array([x for x, _ in found]), prior)
 
 
 def _scorer(model):
