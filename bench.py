@@ -54,8 +54,6 @@ def main() -> None:
     for name in names:
         taken = []
         for _ in range(runs):
-            if taken and taken[0] > 20:
-                break  # long enough for warm-up not to matter
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import operator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,10 +74,15 @@ def select_periods(
     df: DataFrame, months: DataFrame, forced: list[str] | None = None, date_col: str = "periodo_date"
 ) -> DataFrame:
     """Keep the rows of the look-back ``months``, or of the ``forced`` YYYY-MM list."""
+    day = F.col(date_col)
     if forced:
-        wanted = [dt.date(int(p[:4]), int(p[5:7]), 1) for p in forced]
-        return df.where(F.trunc(date_col, "MM").isin(wanted))
-    return df.join(
+        wanted = [F.lit(dt.date(int(p[:4]), int(p[5:7]), 1)) for p in forced]
+        within = [(day >= first) & (day < F.add_months(first, 1)) for first in wanted]
+        return df.where(reduce(operator.or_, within))
+    # the span on the bare column reaches the scan; the semi-join leaves out months in between
+    span = months.agg(F.min("periodo_date").alias("first"), F.add_months(F.max("periodo_date"), 1).alias("after"))
+    near = df.where((day >= span.select("first").scalar()) & (day < span.select("after").scalar()))
+    return near.join(
         months.select(F.col("periodo_date").alias("_month")),
         F.trunc(date_col, "MM") == F.col("_month"),
         "left_semi",

@@ -16,6 +16,7 @@ WHITESPACE = (
 _DOUBLE = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf(?:inity)?))\s*$"
 _PLAIN = r"^-?\d+(?:\.\d*)?$"
 _INTEGER = r"^\s*[+-]?\d+\s*$"
+_DECIMAL = r"^\s*[+-]?\d+\.\d*\s*$"
 
 FREQUENCY_LABELS = {"A": "Anual", "M": "Mensual", "Q": "Trimestral"}  # fixed values
 UNKNOWN_FREQUENCY = "Desconocido"
@@ -44,6 +45,12 @@ def to_int(c: Column) -> Column:
     return F.when(c.rlike(_INTEGER), c.try_cast("int"))
 
 
+def to_int_truncated(c: Column) -> Column:
+    """Text to int without its fraction: ``12.0`` and ``12.7`` are 12; other text is NULL."""
+    whole = F.when(c.rlike(_DECIMAL), F.substring_index(c, ".", 1)).otherwise(c)
+    return to_int(whole)
+
+
 def strip_strict(c: Column) -> Column:
     """Drop thousands commas and dollar signs. NULL stays NULL."""
     return F.translate(c, ",$", "")

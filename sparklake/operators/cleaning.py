@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklake.functions import periods
-from sparklake.functions.scalars import clean_text, strip_lenient, strip_strict, to_double, to_int, to_long
+from sparklake.functions.scalars import clean_text, strip_lenient, strip_strict, to_double, to_int_truncated, to_long
 from sparklake.schemas import (
     LOAN_DOUBLES,
     LOAN_INTEGERS,
@@ -28,7 +28,7 @@ def bronze_columns(df: DataFrame) -> DataFrame:
     """
     month = periods.parse_period(clean_text(F.col("periodo")))
     cols = [clean_text(F.col(c)).alias(c) for c in LOAN_TEXT]
-    cols += [to_int(F.col(c)).alias(c) for c in LOAN_INTEGERS]
+    cols += [to_int_truncated(F.col(c)).alias(c) for c in LOAN_INTEGERS]
     cols += [to_double(F.col(c)).alias(c) for c in LOAN_DOUBLES]
     known = {*LOAN_TEXT, *LOAN_INTEGERS, *LOAN_DOUBLES, REQUESTED_PERIOD}
     lineage = [c for c in df.columns if c not in known]

@@ -12,7 +12,8 @@ from sparklake.operators.macro import canonical_macro
 from sparklake.operators.normalize import align_columns
 from sparklake.plans.layout import Lake
 from sparklake.schemas import EXPECTED_COLUMNS, MACRO_COLUMNS
-from sparklake.sinks.tables import write_partitions
+from sparklake.sinks import audit, ledger
+from sparklake.sinks.tables import write_partitions, write_told
 from sparklake.sources import files
 from sparklake.sources.landing import CAPTURE_DATE, SOURCE_FILE, read_captures
 
@@ -29,9 +30,12 @@ def load_loans(spark: SparkSession, lake: Lake) -> int:
 
     Rows without a readable month go to the NULL partition instead of being lost.
     """
+    audit.log_odd_folders(spark, lake.log, "landing_to_bronze", files.odd_folders(spark, lake.loans_landing))
     capture = files.latest_capture(spark, lake.loans_landing)
     rows = loans_frame(spark, lake.loans_landing, capture)
-    return write_partitions(rows, lake.loans_bronze, ["anio", "mes"])
+    told = write_told(rows, lake.loans_bronze, ["anio", "mes"], None, "overwrite")
+    ledger.record(spark, lake.loans_bronze, capture, told["rows"], told["values"])
+    return told["rows"]
 
 
 def macro_frame(spark: SparkSession, landing: str, dataset: str, capture: dt.date) -> DataFrame:
@@ -59,8 +63,10 @@ def load_all_macro(spark: SparkSession, lake: Lake) -> dict[str, int | str | Non
     for dataset in MACRO_COLUMNS:
         try:
             results[dataset] = load_macro(spark, lake, dataset)
-        except Exception as error:  # the result reports it per dataset
+        except Exception as error:  # reported per dataset, in the result and in the run log
             results[dataset] = f"error: {error}"
+            now = audit.utc_now()
+            audit.log_event(spark, lake.log, f"macro_{dataset}", audit.ERROR, f"fallo: {error}", now, now)
     return results
 
 

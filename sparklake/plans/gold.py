@@ -105,8 +105,9 @@ def load_gold(
     try:
         since = start or first_month(spark, lake.gold)
         rows = gold_frame(spark, lake, since, end, scales, macro_scale)
-        if delete_missing and end is None:
-            count = replace_from(spark, rows, lake.gold, PARTITION, since.isoformat(), ["PROVINCIA"])
+        if delete_missing:
+            last = end.isoformat() if end else None
+            count = replace_from(spark, rows, lake.gold, PARTITION, since.isoformat(), ["PROVINCIA"], last)
         else:
             count = upsert(
                 spark, rows, lake.gold, GOLD_SCHEMA, GOLD_KEY, PARTITION, since.isoformat(), ["PROVINCIA"]

@@ -15,6 +15,10 @@ class Lake:
     def loans_landing(self) -> str:
         return f"{self.root}/landing/loans"
 
+    @property
+    def loans_monthly(self) -> str:
+        return f"{self.root}/landing/loans_monthly"
+
     def macro_landing(self, dataset: str) -> str:
         return f"{self.root}/landing/macro/{dataset}"
 

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparklake.functions.scalars import frequency_label
+from sparklake.operators.normalize import MORTGAGES
+from sparklake.plans.harvest import harvest
+from sparklake.plans.layout import Lake
 from sparklake.queries import views
 from sparklake.queries.registry import query
+from sparklake.session import shared_dir
 from sparklake.sources.countries import COUNTRY_NAMES, country_dimension
+from sparklake.sources.landing import file_listing, latest_loaded_period, read_captures
 from sparklake.sources.payloads import (
     inflation_series,
+    loan_fields,
     loan_rows,
     series_detected,
     series_fixed,
@@ -88,6 +96,7 @@ _LOAN_FIELDS = ["periodo", "entidad", "moneda", "deuda", "provincia"]
     "json_rows",
     """SELECT strftime(o_orderdate, '%Y-%m') AS periodo, CAST(o_orderkey AS VARCHAR) AS entidad, o_orderstatus AS moneda,
       CAST(o_totalprice AS VARCHAR) AS deuda, CAST(NULL AS VARCHAR) AS provincia,
+      CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS nota,
       CASE WHEN (o_orderkey // 100) % 2 = 0 THEN 'lista' ELSE 'objeto' END AS __periodo FROM orders""",
 )
 def json_rows(spark, sf_dir):
@@ -98,6 +107,7 @@ def json_rows(spark, sf_dir):
         F.col("o_orderkey").alias("entidad"),
         F.col("o_orderstatus").alias("moneda"),
         F.col("o_totalprice").alias("deuda"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).alias("nota"),  # in some rows only
     )
     pages = _pages(orders, "o_orderkey", row)
     listed = F.col("page") % 2 == 0
@@ -107,7 +117,34 @@ def json_rows(spark, sf_dir):
     landed = pages.select(
         body.alias("body"), F.when(listed, "lista").otherwise("objeto").alias("periodo_solicitado")
     )
-    return loan_rows(landed, fields=_LOAN_FIELDS)
+    return loan_rows(landed, fields=loan_fields(landed, preferred=_LOAN_FIELDS))
+
+
+@query(
+    "harvest_to_landing",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS periodo, CAST(o_orderkey AS VARCHAR) AS entidad,
+      CAST(o_totalprice AS VARCHAR) AS deuda, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS nota,
+      DATE '2002-01-01' AS dt_captura, '2002-01' AS ultimo_periodo
+    FROM orders WHERE o_orderstatus <> 'P'""",
+)
+def harvest_to_landing(spark, sf_dir):
+    """Responses to a consolidated capture, filtered by category, read back with its lineage."""
+    orders = views.table(spark, sf_dir, "orders")
+    row = F.struct(
+        F.date_format("o_orderdate", "yyyy-MM").alias("periodo"),
+        F.col("o_orderkey").alias("entidad"),
+        F.when(F.col("o_orderstatus") == "P", "Otra").otherwise("CRÉDITOS hipotecarios").alias("tipoCartera"),
+        F.col("o_totalprice").alias("deuda"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).alias("nota"),
+    )
+    pages = _pages(orders, "o_orderkey", row)
+    responses = pages.select(F.to_json("rows").alias("body"), F.lit("2001-12").alias("periodo_solicitado"))
+    lake = Lake(shared_dir(spark, "harvest"))
+    day = dt.date(2002, 1, 1)
+    harvest(spark, responses, lake, day, MORTGAGES)
+    read = read_captures(spark, lake.loans_landing, [day])
+    newest = latest_loaded_period(file_listing(spark, lake.loans_landing)).scalar()
+    return read.select("periodo", "entidad", "deuda", "nota", "dt_captura", newest.alias("ultimo_periodo"))
 
 
 _CODES = {"view": ("DOM", "A"), "click": ("USA", "M"), "purchase": ("MEX", "Q"), "signup": ("XXX", "M"), "error": ("ESP", "W")}

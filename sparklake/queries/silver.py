@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparklake.functions import periods
-from sparklake.functions.scalars import clean_text, money_lenient, money_strict, to_double, to_int, to_long
+from sparklake.functions.scalars import clean_text, money_lenient, money_strict, to_double, to_int_truncated, to_long
 from sparklake.operators.cleaning import silver_rows
 from sparklake.operators.dedup import latest_per_key
 from sparklake.operators.normalize import (
@@ -249,13 +249,15 @@ query("period_parse_multi", _period_query_sql(4))(_period_query(periods.FOUR_FOR
 @query(
     "numeric_cast_bronze",
     f"""SELECT l_orderkey, l_linenumber,
-      CASE WHEN l_returnflag <> 'A' THEN CAST(l_quantity AS INTEGER) END AS entero,
+      CAST(l_quantity AS INTEGER) AS entero,
       CASE WHEN l_returnflag <> 'A' THEN CAST(l_quantity AS BIGINT) END AS largo,
       {_CAST.format(c=f"({_money('l_extendedprice', 0, 'duckdb')})")} AS doble
     FROM lineitem""",
 )
 def numeric_cast_bronze(spark, sf_dir):
-    """Tolerant casts of dirty text: a fraction is no integer, a word is no number."""
+    """Tolerant casts of dirty text: bronze integers lose their fraction, the warehouse's long
+    integers must have none, and a word is no number.
+    """
     text = F.when(F.col("l_returnflag") == "A", F.col("l_quantity").cast("string")).otherwise(
         F.col("l_quantity").cast("bigint").cast("string")
     )
@@ -268,7 +270,7 @@ def numeric_cast_bronze(spark, sf_dir):
     return rows.select(
         "l_orderkey",
         "l_linenumber",
-        to_int(F.col("cantidad")).alias("entero"),
+        to_int_truncated(F.col("cantidad")).alias("entero"),
         to_long(F.col("cantidad")).alias("largo"),
         to_double(F.col("monto")).alias("doble"),
     )

@@ -17,12 +17,12 @@ from sparklake.plans.layout import Lake
 from sparklake.queries import views
 from sparklake.queries.registry import query
 from sparklake.queries.silver import _latest_sql
-from sparklake.schemas import ALERT_SCHEMA, GOLD_COLUMNS, GOLD_SCHEMA, LOAN_COLUMNS, SILVER_COLUMNS, SILVER_KEY, SILVER_SCHEMA
+from sparklake.schemas import ALERT_SCHEMA, GOLD_COLUMNS, GOLD_SCHEMA, LOAN_COLUMNS, REQUESTED_PERIOD, SILVER_COLUMNS, SILVER_KEY, SILVER_SCHEMA
 from sparklake.session import shared_dir
 from sparklake.sinks.csv import export_by_period, export_capture
 from sparklake.sinks.tables import read_table, write_partitions
 from sparklake.sources import files
-from sparklake.sources.landing import concat_pieces, path_date, read_captures, read_partitioned, read_text_csv, rows_per_file
+from sparklake.sources.landing import path_date, read_captures, read_partitioned, rows_per_file
 from sparklake.streaming.landing import start_silver_stream
 
 _CAPTURE = dt.date(2002, 1, 1)
@@ -44,17 +44,21 @@ def _landing_rows(spark, sf_dir: str) -> DataFrame:
     return rows.select(*text, "dt_captura")
 
 
-def _land_by_year(spark, sf_dir: str, lake: Lake) -> None:
-    """One capture per year of shipment, dated the first of January after it."""
+def _land_by_year(spark, sf_dir: str, lake: Lake, harvest: bool = False) -> None:
+    """One capture per year of shipment, dated the first of January after it.
+
+    With ``harvest`` the files also have the requested month, in two orders or not at all.
+    """
     rows = _landing_rows(spark, sf_dir)
-    year_end = F.make_date(F.year("dt_captura") + 1, F.lit(1), F.lit(1))
-    (
-        rows.withColumn("dt", year_end)
-        .drop("dt_captura")
-        .write.partitionBy("dt")
-        .option("header", True)
-        .csv(lake.loans_landing)
-    )
+    year = F.year("dt_captura")
+    rows = rows.withColumn("dt", F.make_date(year + 1, F.lit(1), F.lit(1))).withColumn("_kind", year % 3)
+    orders = [LOAN_COLUMNS]
+    if harvest:
+        rows = rows.withColumn(REQUESTED_PERIOD, F.col("periodo"))
+        orders = [[*LOAN_COLUMNS, REQUESTED_PERIOD], [REQUESTED_PERIOD, *reversed(LOAN_COLUMNS)], LOAN_COLUMNS]
+    for kind, columns in enumerate(orders):
+        part = rows.where(F.col("_kind") == kind) if harvest else rows
+        part.select(*columns, "dt").write.partitionBy("dt").mode("append").option("header", True).csv(lake.loans_landing)
 
 
 _CAPTURED_SQL = f"""{views.LOANS_SQL}, yearly AS (
@@ -119,19 +123,27 @@ def silver_from_landing(spark, sf_dir):
 
 @query("stream_landing", f"WITH {_LATEST_SQL} SELECT {_SILVER_LIST} FROM latest")
 def stream_landing(spark, sf_dir):
-    """The same captures as a file stream, several micro-batches, upserted by key."""
+    """The same captures as a file stream, several micro-batches, upserted by key.
+
+    Files carry the harvest's 29 columns; one capture in three has them in another order,
+    and one in three lacks the requested month.
+    """
     lake = _lake(spark)
-    _land_by_year(spark, sf_dir, lake)
+    _land_by_year(spark, sf_dir, lake, harvest=True)
     checkpoint = shared_dir(spark, "stream")
     start_silver_stream(spark, lake.loans_landing, lake.silver, checkpoint, files_per_batch=8).awaitTermination()
     return read_table(spark, lake.silver, SILVER_SCHEMA)
 
 
+# the job started in 1990 reads the whole macro series
+_ALL_GOLD_SQL = views.GOLD_SQL.replace(f"DATE '{views.MACRO_SINCE}'", "DATE '1989-12-01'")
+
+
 def _gold_lake(spark, sf_dir: str) -> Lake:
     """Silver written as a table, and the macro series as bronze tables."""
     lake = _lake(spark)
     write_partitions(views.silver(spark, sf_dir), lake.silver, [silver.PARTITION], silver.CLUSTER)
-    series = views.macro_standin(spark, sf_dir).where(F.col("fecha") >= F.lit(views.MACRO_SINCE).cast("date"))
+    series = views.macro_standin(spark, sf_dir)
     day = F.date_format("fecha", "yyyy-MM-dd").alias("fecha")
     captured = F.lit(_CAPTURE).alias("dt_captura")
     kind = F.when(F.col("tipo_cambio") == "F", "VENTA").when(F.col("tipo_cambio") == "O", "COMPRA")
@@ -149,7 +161,7 @@ def _load_twice(spark, lake: Lake) -> None:
     gold.load_gold(spark, lake, **exact)
 
 
-@query("gold_table", f"WITH {views.GOLD_SQL} SELECT {', '.join(GOLD_COLUMNS)} FROM gold")
+@query("gold_table", f"WITH {_ALL_GOLD_SQL} SELECT {', '.join(GOLD_COLUMNS)} FROM gold")
 def gold_table(spark, sf_dir):
     """The gold job, run for everything and then again for the last months."""
     lake = _gold_lake(spark, sf_dir)
@@ -159,7 +171,7 @@ def gold_table(spark, sf_dir):
 
 @query(
     "alerts_table",
-    f"""WITH {views.GOLD_SQL}, a AS (
+    f"""WITH {_ALL_GOLD_SQL}, a AS (
       SELECT PROVINCIA AS provincia, ANIO AS anio, MES AS mes, TASA_MORA AS t,
         lag(TASA_MORA) OVER (PARTITION BY PROVINCIA ORDER BY ANIO, MES) AS p FROM gold)
     SELECT provincia, anio, mes, t AS tasa_mora_promedio,
@@ -191,12 +203,10 @@ def encoding_fallback(spark, sf_dir):
         F.col("c_mktsegment").alias("Sección"),
         (F.col("c_acctbal") >= 0).alias("_utf8"),
     )
+    day = f"{path}/dt={_CAPTURE.isoformat()}"
     for encoding, part in (("UTF-8", rows.where("_utf8")), ("ISO-8859-1", rows.where("NOT _utf8"))):
-        part.drop("_utf8").write.mode("append").option("header", True).option("encoding", encoding).csv(
-            f"{path}/{encoding}"
-        )
-    pieces = [read_text_csv(spark, f"{path}/{e}") for e in ("UTF-8", "ISO-8859-1")]
-    read = concat_pieces(pieces)
+        part.drop("_utf8").write.mode("append").option("header", True).option("encoding", encoding).csv(day)
+    read = read_captures(spark, path, [_CAPTURE])
     return read.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "entidad", "Sección")
 
 

@@ -54,11 +54,11 @@ MEASURE_SCALES = {
 }
 _FROM_SQL = """
   FROM lineitem
-  JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey
-  JOIN supplier ON l_suppkey = s_suppkey
-  JOIN part ON l_partkey = p_partkey"""
+  LEFT JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN supplier ON l_suppkey = s_suppkey
+  LEFT JOIN part ON l_partkey = p_partkey"""
 _SELECT_SQL = ",\n    ".join(f'{sql} AS {name}' for name, (_, _, sql) in LOAN_VIEW.items())
 _FLAGS_SQL = """
     CAST(CASE WHEN periodo_date IS NULL OR periodo IS NULL OR periodo = '' THEN 1 ELSE 0 END AS BIGINT)
@@ -80,8 +80,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def loans(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Loan rows with the given columns (all silver columns by default).
 
-    Only the tables that the columns need are joined: every key of lineitem and orders
-    has exactly one partner, so a join that adds no column would change nothing.
+    Only the tables that the columns need are joined: they are joined from the left by
+    their unique keys, so a join that adds no column changes nothing.
     """
     wanted = columns or [c for c in SILVER_COLUMNS if c in LOAN_VIEW]
     needed = {LOAN_VIEW[c][0] for c in wanted}
@@ -97,13 +97,13 @@ def loans(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
             customer = table(spark, sf_dir, "customer")
             if "nation" in needed:
                 nation = table(spark, sf_dir, "nation")
-                customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if "part" in needed:
-        rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        rows = rows.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"), "left")
     if "supplier" in needed:
-        rows = rows.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        rows = rows.join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
     return rows.select(*[F.expr(LOAN_VIEW[c][1]).alias(c) for c in wanted])
 
 

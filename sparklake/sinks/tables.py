@@ -2,7 +2,8 @@
 
 Every overwrite replaces whole partitions (dynamic mode): Spark writes the new files beside
 the old ones and swaps folders when the job commits, so lost executors are retried against
-unchanged input and a failed job leaves the table as it was.
+unchanged input. Upserts, which read what they replace, stage their result first and can be
+completed after a lost driver, see ``swap_partitions``.
 """
 
 from __future__ import annotations
@@ -34,10 +35,10 @@ def write_partitions(
     mode: str = "overwrite",
 ) -> int:
     """Write ``df`` partitioned and clustered; returns the number of rows written."""
-    return _write(df, path, partition_by, sort_by, mode)["rows"]
+    return write_told(df, path, partition_by, sort_by, mode)["rows"]
 
 
-def _write(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, mode: str) -> dict:
+def write_told(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, mode: str) -> dict:
     """The write itself; returns the row count and the values of the first partition column.
 
     The rebalance keeps one partition value together as long as it is small and splits it
@@ -62,6 +63,33 @@ def _write(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str]
     return metrics.get
 
 
+def finish_swap(spark: SparkSession, path: str, schema: T.StructType, partition: str, sort_by: list[str] | None = None) -> None:
+    """Complete a swap that an earlier run left behind: its rows are ready beside the table."""
+    ready = f"{path}_merge"
+    if files.exists(spark, f"{ready}/_SUCCESS"):
+        fresh = spark.read.schema(schema).option("basePath", ready).parquet(ready)
+        write_partitions(fresh.select(*schema.fieldNames()), path, [partition], sort_by)
+    if files.exists(spark, ready):
+        files.delete(spark, ready)
+
+
+def swap_partitions(
+    spark: SparkSession, rows: DataFrame, path: str, schema: T.StructType, partition: str, sort_by: list[str] | None = None
+) -> None:
+    """Replace the partitions that ``rows`` hold, where ``rows`` may read the table itself.
+
+    All new rows are written beside the table before any folder of it is touched. A driver
+    that is lost before that leaves the table as it was; one that is lost while folders are
+    swapped leaves the new rows, and the next run's ``finish_swap`` completes them. One
+    writer at a time is assumed.
+    """
+    laid_out = rows.select(*schema.fieldNames()).hint("rebalance", F.col(partition))
+    # not in dynamic mode: the mark of a complete write must lie in the folder itself
+    plain = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    plain.partitionBy(partition).parquet(f"{path}_merge")
+    finish_swap(spark, path, schema, partition, sort_by)
+
+
 def upsert(
     spark: SparkSession,
     source: DataFrame,
@@ -79,10 +107,11 @@ def upsert(
     """
     metrics = Observation()
     source = source.observe(metrics, F.count(F.lit(1)).alias("rows"))
+    finish_swap(spark, path, schema, partition, sort_by)
     target = read_table(spark, path, schema)
     if since is not None:
         target = target.where(F.col(partition) >= F.lit(since).cast(schema[partition].dataType))
-    write_partitions(upserted(target, source, key), path, [partition], sort_by)
+    swap_partitions(spark, upserted(target, source, key), path, schema, partition, sort_by)
     return metrics.get["rows"]
 
 
@@ -93,16 +122,22 @@ def stage(spark: SparkSession, df: DataFrame, partition_by: list[str]) -> tuple[
 
 
 def replace_from(
-    spark: SparkSession, fresh: DataFrame, path: str, partition: str, start: str, sort_by: list[str] | None = None
+    spark: SparkSession,
+    fresh: DataFrame,
+    path: str,
+    partition: str,
+    start: str,
+    sort_by: list[str] | None = None,
+    end: str | None = None,
 ) -> int:
-    """Replace all partitions from ``start`` on by ``fresh``, including those it lacks.
+    """Replace all partitions from ``start`` on (to ``end``) by ``fresh``, including those it lacks.
 
     The partitions ``fresh`` holds are swapped in one job; the others from ``start`` on
     are removed afterwards, so running it again repairs an interrupted run.
     """
     listed = files.partition_values(spark, path, partition)
-    before = {v for v in listed if v >= start and v != NULL_FOLDER}
-    written = _write(fresh, path, [partition], sort_by, "overwrite")
+    before = {v for v in listed if v >= start and (end is None or v <= end) and v != NULL_FOLDER}
+    written = write_told(fresh, path, [partition], sort_by, "overwrite")
     for value in before - set(written["values"]):
         files.delete(spark, f"{path}/{partition}={value}")
     return written["rows"]

@@ -39,16 +39,50 @@ def partition_values(spark: SparkSession, base: str, key: str) -> list[str]:
 
 
 def capture_dates(spark: SparkSession, base: str, key: str = "dt") -> list[dt.date]:
-    """Capture dates of a landing folder, oldest first; folders of another form are skipped."""
-    values = partition_values(spark, base, key)
-    return sorted(dt.date.fromisoformat(v) for v in values if re.fullmatch(r"\d{4}-\d{2}-\d{2}", v))
+    """Capture dates of a landing folder, oldest first; ``odd_folders`` names the others."""
+    return sorted(filter(None, map(_date, partition_values(spark, base, key))))
 
 
-def holds_data(spark: SparkSession, folder: str) -> bool:
-    """Whether Spark would find a file directly in ``folder``."""
+def odd_folders(spark: SparkSession, base: str, key: str = "dt") -> list[str]:
+    """``key=`` folders whose value is no date: another form, or a day that does not exist."""
+    return sorted(v for v in partition_values(spark, base, key) if _date(v) is None)
+
+
+def _date(text: str) -> dt.date | None:
+    try:
+        return dt.date.fromisoformat(text) if re.fullmatch(r"\d{4}-\d{2}-\d{2}", text) else None
+    except ValueError:
+        return None
+
+
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files directly in ``folder`` that Spark would read."""
     fs, hadoop_path = _file_system(spark, folder)
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isFile()]
-    return any(n[0] not in "._" for n in names)
+    if not fs.exists(hadoop_path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(hadoop_path) if s.isFile() and s.getLen()]
+    return sorted(p.toString() for p in found if p.getName()[0] not in "._")
+
+
+def rename(spark: SparkSession, path: str, name: str) -> None:
+    """Give a file another name in its folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.rename(hadoop_path, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), name))
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file, its bytes read one to one as characters."""
+    jvm = spark.sparkContext._jvm
+    fs, hadoop_path = _file_system(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(hadoop_path)
+    stream = fs.open(hadoop_path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "ISO-8859-1"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
 
 
 def latest_capture(spark: SparkSession, base: str, key: str = "dt") -> dt.date:

@@ -74,21 +74,27 @@ def read_text_csv(
 def read_captures(
     spark: SparkSession, base: str, dates: list[dt.date], encoding: str = "auto"
 ) -> DataFrame:
-    """Rows of the given ``dt=`` folders, with the date taken from the file path.
-
-    Captures may differ in their columns: those with the same header are scanned together
-    and the scans are stacked by name. Only the first line of each capture is read for that.
-    """
+    """Rows of the given ``dt=`` folders, with the date taken from the file path."""
     folders = [f"{base}/dt={day.isoformat()}" for day in dates]
-    folders = [f for f in folders if files.holds_data(spark, f)]
     with ThreadPoolExecutor(8) as pool:
-        headers = pool.map(lambda f: tuple(csv_reader(spark.read, "ISO-8859-1").csv(f).columns), folders)
-        by_header: dict[tuple[str, ...], list[str]] = {}
-        for folder, header in zip(folders, headers):
-            by_header.setdefault(header, []).append(folder)
-    if not by_header:
+        paths = [p for found in pool.map(lambda f: files.data_files(spark, f), folders) for p in found]
+    if not paths:
         raise FileNotFoundError(f"no files in the captures {dates} of {base}")
-    raw = concat_pieces([read_text_csv(spark, paths, encoding) for paths in by_header.values()])
+    return read_files(spark, paths, encoding)
+
+
+def read_files(spark: SparkSession, paths: list[str], encoding: str = "auto") -> DataFrame:
+    """Rows of landing files, whose columns and encodings may differ, with their capture date.
+
+    Files with the same header line are scanned together and the scans are stacked by the
+    names of their columns. Only the first line of each file is read for that, without a job.
+    """
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda p: files.first_line(spark, p), paths))
+    by_header: dict[str, list[str]] = {}
+    for path, header in zip(paths, headers, strict=True):
+        by_header.setdefault(header, []).append(path)
+    raw = concat_pieces([read_text_csv(spark, same, encoding) for same in by_header.values()])
     return raw.withColumn(CAPTURE_DATE, path_date(F.col(SOURCE_FILE)))
 
 

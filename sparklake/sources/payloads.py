@@ -18,15 +18,29 @@ def _text_struct(fields: list[str]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType()) for f in fields])
 
 
+def loan_fields(df: DataFrame, body: str = "body", preferred: list[str] = LOAN_COLUMNS) -> list[str]:
+    """``preferred``, then every other field name that occurs in the responses.
+
+    One pass over the responses; one row per distinct name comes back.
+    """
+    kind = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+    listed = F.from_json(body, kind)
+    wrapped = F.from_json(body, T.StructType([T.StructField("Data", kind)]))["Data"]
+    rows = df.select(F.explode(F.when(F.col(body).rlike(r"^\s*\["), listed).otherwise(wrapped)).alias("row"))
+    names = rows.select(F.explode(F.map_keys("row")).alias("name")).distinct()
+    return [*preferred, *sorted({r[0] for r in names.collect()} - {*preferred, REQUESTED_PERIOD})]
+
+
 def loan_rows(
     df: DataFrame, body: str = "body", periodo: str = "periodo_solicitado", fields: list[str] | None = None
 ) -> DataFrame:
     """Rows of a loan response: a JSON list, or an object holding the list as ``Data``.
 
-    An empty or malformed response gives no rows. The requested month goes to
-    ``__periodo``.
+    All fields are kept: the preferred ones first, then those that only some responses
+    have, see ``loan_fields``; give ``fields`` to fix the columns. An empty or malformed
+    response gives no rows. The requested month goes to ``__periodo``.
     """
-    row = _text_struct(fields or LOAN_COLUMNS)
+    row = _text_struct(loan_fields(df, body) if fields is None else fields)
     listed = F.from_json(body, T.ArrayType(row))
     wrapped = F.from_json(body, T.StructType([T.StructField("Data", T.ArrayType(row))]))
     is_list = F.col(body).rlike(r"^\s*\[")
@@ -37,7 +51,10 @@ def loan_rows(
 
 
 def _series_pairs(df: DataFrame, body: str) -> DataFrame:
-    """The ``C`` arrays below the first key that starts with DM, one row each."""
+    """The ``C`` arrays below the first key that starts with DM, one row each.
+
+    As the service nests one series per response, the first result set is read.
+    """
     blocks = F.from_json(F.get_json_object(body, _SERIES_ROOT), "map<string,string>")
     block = F.map_values(F.map_filter(blocks, lambda k, _: k.startswith("DM")))
     rows = F.from_json(F.try_element_at(block, F.lit(1)), "array<struct<C:array<string>>>")
