@@ -10,9 +10,9 @@ their prefixes. Classes meet on the n-grams of their prefixes, and a pair must p
 * the suffix filter (the sets' counts over fixed hash ranges bound their difference)
 
 before its sets are intersected, once for each pair. Pairs are tried in two rounds, because a
-group of near copies has too many of them: first each class with one hub of each of its n-grams,
-the class that holds it nearest to its set's beginning; then, after components are known, only
-classes that share an n-gram but lie in different components. What is left out joins classes
+group of near copies has too many of them. Each n-gram's hub is the class that holds it nearest
+to its set's beginning. First each class meets the hub that it shares most n-grams with; then,
+after components are known, only classes that share an n-gram but lie in different components. What is left out joins classes
 already known to be connected, so components are those of all links.
 
 The sketch has a fixed size, whatever the corpus; any consistent order gives right results, and
@@ -40,7 +40,9 @@ from sparklake.llm.arrays import NOT_SPACE, Words, mapped, ngrams, slices, store
 from sparklake.llm.components import components
 
 SKETCH_BITS = 20
+FILTER_BITS = 24  # of the filter over wanted ids
 CHUNKS = 64
+PAIRS_AT_ONCE = 1_000_000  # pairs of rows that a task holds in memory
 BLOCK = 512  # members of an n-gram's bucket that are compared with each other in one piece
 
 
@@ -64,26 +66,33 @@ def _class(own: np.ndarray) -> tuple[int, int]:
     return a, b
 
 
+def _signature(own: np.ndarray) -> int:
+    """How many members lie in each of eight hash ranges, up to 255, in a byte each."""
+    bins = np.bincount((own & np.uint64(7)).astype(np.int64), minlength=8)
+    return int(np.minimum(bins, 255).astype(np.uint8).view(np.int64)[0])
+
+
 def _described(n: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         shift = np.uint64(64 - SKETCH_BITS)
-        names = ["id", "n", "c1", "c2", "chunk", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["id", "n", "c1", "c2", "sig", "chunk", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for batch in slices(batches, "text"):
             sets = sets_of(batch.column("text"), n)
             whole = np.concatenate([*sets, np.empty(0, np.uint64)])
             sketch += np.bincount((whole >> shift).astype(np.int64), minlength=len(sketch))
             classes = [_class(x) for x in sets]
             none = [None] * len(sets)
-            columns = [batch.column("id"), [len(x) for x in sets], [c[0] for c in classes], [c[1] for c in classes], none, none]
+            facts = [[len(x) for x in sets], [c[0] for c in classes], [c[1] for c in classes], [_signature(x) for x in sets]]
+            columns = [batch.column("id"), *facts, none, none]
             yield pa.RecordBatch.from_arrays(
                 [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names
             )
         parts = [(k, x) for k, x in enumerate(sketch.reshape(CHUNKS, -1)) if x.any()]
         none = [None] * len(parts)
         packed = [zlib.compress(x.astype(np.uint32).tobytes(), 1) for _, x in parts]
-        columns = [none, none, none, none, [k for k, _ in parts], packed]
+        columns = [none, none, none, none, none, [k for k, _ in parts], packed]
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names)
 
     return work
@@ -97,14 +106,14 @@ def _added(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def described(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """(id, n, c1, c2) of each document, and the counts of n-grams by hash bucket."""
-    schema = "id bigint, n bigint, c1 bigint, c2 bigint, chunk int, counts binary"
+    """(id, n, c1, c2, sig) of each document, and the counts of n-grams by hash bucket."""
+    schema = "id bigint, n bigint, c1 bigint, c2 bigint, sig bigint, chunk int, counts binary"
     both = stored(mapped(docs, _described(n), schema), "ngram-sets")
     sums = both.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInPandas(_added, "chunk int, counts binary")
     sketch = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), np.int64)
     for row in sums.collect():  # at most CHUNKS rows of a fixed size
         sketch[row[0]] = np.frombuffer(row[1], np.int64)
-    return both.where("chunk is null").select("id", "n", "c1", "c2"), sketch.ravel()
+    return both.where("chunk is null").select("id", "n", "c1", "c2", "sig"), sketch.ravel()
 
 
 def needed(size, num: int, den: int):
@@ -119,30 +128,54 @@ def _postings(n: int, num: int, den: int, sketch):
             sets = [x for x in sets_of(batch.column("text"), n) if len(x)]
             size = np.array([len(x) for x in sets], np.int64)
             length = size - needed(size, num, den) + 1
-            token, sig = [np.empty(0, np.uint64)], []
+            token = [np.empty(0, np.uint64)]
             for own, p in zip(sets, length.tolist(), strict=True):
                 order = np.argsort(counts[(own >> shift).astype(np.int64)], kind="stable")
                 token.append(own[order[:p]])
-                bins = np.bincount((own & np.uint64(7)).astype(np.int64), minlength=8)
-                sig.append(int(np.minimum(bins, 255).astype(np.uint8).view(np.int64)[0]))
-            classes = np.array([_class(x) for x in sets], np.int64).reshape(-1, 2)
+            classes = np.array([_class(x)[0] for x in sets], np.int64)
             at = np.repeat(np.arange(len(sets)), length)
             pos = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-            columns = [np.concatenate(token).view(np.int64), classes[at, 0], classes[at, 1], size[at], pos, np.array(sig, np.int64)[at]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "c1", "c2", "n", "pos", "sig"])
+            columns = [np.concatenate(token).view(np.int64), classes[at], size[at], pos]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "c1", "n", "pos"])
 
     return work
 
 
-def _set_rows(n: int):
+def _bits(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    bits = np.zeros((1 << FILTER_BITS) // CHUNKS, bool)
+    bits[rows["bit"].to_numpy() % len(bits)] = True
+    return pd.DataFrame({"chunk": [key[0]], "bits": [np.packbits(bits).tobytes()]})
+
+
+def _set_rows(n: int, wanted):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sets = [x.tobytes() for x in sets_of(batch.column("text"), n)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.binary())], ["id", "grams"])
+        bits = np.unpackbits(wanted.value).astype(bool)
+        for whole in batches:
+            batch = whole.filter(pa.array(bits[whole.column("bit").to_numpy(zero_copy_only=False)]))
+            for part in slices(iter([batch]), "text"):
+                sets = [x.tobytes() for x in sets_of(part.column("text"), n)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["id", "grams"])
 
     return work
 
 
+def grams_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """(id, grams) of the documents with these ids.
+
+    A filter of a fixed size over the ids keeps most other texts from being cut and shuffled;
+    an exact join follows.
+    """
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).alias("bit")
+    chunk = F.floor(F.col("bit") / ((1 << FILTER_BITS) // CHUNKS)).cast("int").alias("chunk")
+    parts = ids.select(bit).distinct().select("bit", chunk).groupBy("chunk").applyInPandas(_bits, "chunk int, bits binary")
+    bits = np.zeros((CHUNKS, (1 << FILTER_BITS) // CHUNKS // 8), np.uint8)
+    for row in parts.collect():  # at most CHUNKS rows of a fixed size
+        bits[row[0]] = np.frombuffer(row[1], np.uint8)
+    wanted = docs.sparkSession.sparkContext.broadcast(bits.ravel())
+    found = mapped(docs.where("id is not null").select("id", "text", bit), _set_rows(n, wanted), "id bigint, grams binary")
+    return stored(found.join(ids, "id", "left_semi").distinct(), "ngram-grams")
+
+
 def _verified(num: int, den: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +196,7 @@ def _verified(num: int, den: int):
 def verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of ids whose sets reach the threshold."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = stored(mapped(docs.join(ids, "id"), _set_rows(n), "id bigint, grams binary").distinct(), "ngram-grams")
+    sets = grams_of(docs, ids, n)
     rows = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
     rows = rows.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
     return stored(mapped(rows.select("a", "b", "x", "y"), _verified(num, den), "a bigint, b bigint"), "ngram-links")
@@ -184,47 +217,60 @@ def _may_link(num: int, den: int, x: str, y: str) -> Column:
 
 
 def _block_pairs(num: int, den: int):
-    """Candidate pairs of each run of rows with the same (token, one, two)."""
-
-    def run(t: pd.DataFrame) -> np.ndarray:
-        cross = t["one"].iat[0] != t["two"].iat[0]
-        left = t[t["block"] == t["one"]] if cross else t
-        right = t[t["block"] == t["two"]] if cross else t
-        x = {c: left[c].to_numpy()[:, None] for c in ("id", "component", "n", "pos")}
-        y = {c: right[c].to_numpy()[None, :] for c in ("id", "component", "n", "pos")}
-        total = x["n"] + y["n"]
-        least = -(-num * total // (num + den))
-        ok = (x["component"] != y["component"]) & (den * np.minimum(x["n"], y["n"]) >= num * np.maximum(x["n"], y["n"]))
-        ok &= np.minimum(x["n"] - x["pos"], y["n"] - y["pos"]) >= least
-        if not cross:
-            ok &= x["id"] < y["id"]
-        i, j = np.nonzero(ok)
-        if not len(i):
-            return np.empty((0, 2), np.int64)
-        bins = lambda f: np.ascontiguousarray(f["sig"].to_numpy(np.int64)).view(np.uint8).reshape(-1, 8).astype(np.int16)
-        apart = np.abs(bins(left)[i] - bins(right)[j]).sum(axis=1)
-        near = total[i, j] - apart >= 2 * least[i, j]
-        a, b = left["id"].to_numpy()[i[near]], right["id"].to_numpy()[j[near]]
+    """Candidate pairs within each run of rows with the same (token, one, two).
+
+    All runs of a batch are handled at once, a bounded number of pairs at a time.
+    """
+
+    def tried(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        at = lambda c: (rows[c][i], rows[c][j])
+        (a, b), (n, m), (p, q) = at("id"), at("n"), at("pos")
+        least = -(-num * (n + m) // (num + den))
+        ok = (rows["component"][i] != rows["component"][j]) & (den * np.minimum(n, m) >= num * np.maximum(n, m))
+        ok &= (np.minimum(n - p, m - q) >= least) & (a != b)
+        # in a run of two blocks only pairs across them are new
+        ok &= (rows["one"][i] == rows["two"][i]) | (rows["block"][i] != rows["block"][j])
+        i, j, near = i[ok], j[ok], (n + m - 2 * least)[ok]
+        bins = rows["sig"].view(np.uint8).reshape(-1, 8)
+        close = np.abs(bins[i].astype(np.int16) - bins[j]).sum(axis=1) <= near
+        a, b = a[ok][close], b[ok][close]
         return np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
+    def made(batch: pa.RecordBatch, end: int, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The pairs of the rows before ``end``, whose runs end at ``edges``."""
+        rows = {c: np.ascontiguousarray(batch.column(c).to_numpy(zero_copy_only=False)[:end]) for c in batch.schema.names}
+        stop = edges[np.searchsorted(edges, np.arange(end), "right")]
+        after = stop - np.arange(end) - 1  # rows of the run that follow each row
+        part = (np.cumsum(after) - after) // PAIRS_AT_ONCE
+        found = [np.empty((0, 2), np.int64)]
+        for k in np.unique(part):
+            own = np.flatnonzero(part == k)
+            i = np.repeat(own, after[own])
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after[own]) - after[own], after[own])
+            found.append(tried(rows, i, j))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            rows = batch.to_pandas()
-            held = rows if held is None else pd.concat([held, rows], ignore_index=True)
-            key = held[["token", "one", "two"]].to_numpy()
-            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            if len(cuts):
-                yield from made(held.iloc[: cuts[-1]], cuts[:-1])
-                held = held.iloc[cuts[-1] :]
-        if held is not None and len(held):
-            yield from made(held, np.empty(0, np.int64))
-
-    def made(rows: pd.DataFrame, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        edges = [0, *cuts.tolist(), len(rows)]
-        found = [run(rows.iloc[a:b]) for a, b in zip(edges, edges[1:], strict=False) if b - a > 1]
-        pairs = np.unique(np.concatenate([*found, np.empty((0, 2), np.int64)]), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
+            held.append(batch)
+            size += batch.num_rows
+            if size < 50_000:
+                continue
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            key = [whole.column(c).to_numpy() for c in ("token", "one", "two")]
+            edges = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1
+            if len(edges):  # the last run may go on in the next batch
+                yield from made(whole, int(edges[-1]), edges)
+                whole = whole.slice(int(edges[-1]))
+            held, size = [whole], whole.num_rows
+        if size:
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            key = [whole.column(c).to_numpy() for c in ("token", "one", "two")]
+            edges = np.append(np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0)) + 1, whole.num_rows)
+            yield from made(whole, whole.num_rows, edges)
 
     return work
 
@@ -238,21 +284,24 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     info, sketch = described(rows, n)
     held = spark.sparkContext.broadcast(sketch)
-    schema = "token bigint, c1 bigint, c2 bigint, n bigint, pos bigint, sig bigint"
+    schema = "token bigint, c1 bigint, n bigint, pos bigint"
     postings = stored(mapped(rows.select("text"), _postings(n, num, den, held), schema), "ngram-postings")
 
     # n-grams that more than one class has in its prefix, and each one's hub
     near = F.shiftleft(F.least("pos", F.lit(2047)), 52).bitwiseOR(F.col("c1").bitwiseAND((1 << 52) - 1))
     buckets = postings.groupBy("token").agg(F.min(near).alias("hub"), F.max(near).alias("far")).where("hub <> far")
     shared = postings.join(buckets.select("token", "hub"), "token").withColumn("near", near).distinct()
-    reps = stored(info.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id")), "ngram-classes")
-    shared = stored(shared.join(reps, ["c1", "c2"]).select("token", "id", "n", "pos", "sig", (F.col("near") == F.col("hub")).alias("hub")), "ngram-shared")
+    reps = info.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+    reps = stored(reps, "ngram-classes")
+    # by half of a class's hash and its size: a chance match only adds a candidate
+    shared = stored(shared.join(reps.drop("c2"), ["c1", "n"]).select("token", "id", "n", "pos", "sig", (F.col("near") == F.col("hub")).alias("hub")), "ngram-shared")
 
-    # first round: with the hub of each n-gram
+    # first round: each class with the hub that it shares most n-grams with
     hubs = shared.where("hub").select("token", *[F.col(c).alias(f"h_{c}") for c in ("id", "n", "pos", "sig")])
     met = shared.where("not hub").join(hubs, "token").where(_may_link(num, den, "", "h_"))
-    pairs = met.select(F.least("id", "h_id").alias("a"), F.greatest("id", "h_id").alias("b")).where("a <> b").distinct()
-    pairs = stored(pairs, "ngram-pairs")
+    best = met.where("id <> h_id").groupBy("id", "h_id").agg(F.count("*").alias("shared"))
+    best = best.groupBy("id").agg(F.max_by("h_id", F.struct("shared", -F.col("h_id"))).alias("h_id"))
+    pairs = stored(best.select(F.least("id", "h_id").alias("a"), F.greatest("id", "h_id").alias("b")).distinct(), "ngram-pairs")
     links = verified(pairs, rows, n, num, den)
     known = stored(components(links), "ngram-components")
 
@@ -275,7 +324,7 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
         late = verified(more, rows, n, num, den)
         final = components(known.select(F.col("id").alias("a"), F.col("component").alias("b")).union(late))
 
-    classes = reps.join(final, "id", "left").select("c1", "c2", F.coalesce("component", "id").alias("component"))
+    classes = reps.select("c1", "c2", "id").join(final, "id", "left").select("c1", "c2", F.coalesce("component", "id").alias("component"))
     return info.join(classes, ["c1", "c2"], "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
