@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sparklake.llm import bpe
+from sparklake.llm.arrays import stored
 
 BLOCK = 1024
 
@@ -76,5 +77,5 @@ def quantile(sums: DataFrame, share: float) -> DataFrame:
 
 
 def op6(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """The registered query: suffix sums for every length."""
-    return suffix_sums(histogram(docs, path, pattern))
+    """The registered query: suffix sums for every length, of a histogram that is made once."""
+    return suffix_sums(stored(histogram(docs, path, pattern), "length-histogram"))

@@ -1,7 +1,8 @@
 """Substring dedup by unit hashing.
 
-A text is cut into units at line breaks and sentence ends, so that a passage glued into a line is
-found too. Units are normalised (case folded, white space collapsed) and their 128-bit digests
+A text is cut into units at line breaks and after the marks that end sentences and clauses, so
+that a passage glued into a line is found too, and one that was changed in a word loses little.
+Units are normalised (case folded, white space collapsed, end marks off) and their 128-bit digests
 are grouped over the corpus. The earliest ranked occurrence stays: the one in the document with
 the smallest id, and there the first. Later ones are removed where they stand in a run of
 repeated units with at least ``min_words`` words, so that chance repeats of short sentences stay.
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 from sparklake.llm.arrays import mapped, slices
 
 MIN_WORDS = 30
-# a unit ends after a line break, or after a sentence mark that white space follows
-UNIT = re.compile(r"[^\n]*?(?:[.!?…。！？][\"'”’)\]]*[ \t\r]+|\n|\Z)", re.S)
+# a unit ends after a line break, or after a mark that white space follows
+UNIT = re.compile(r"[^\n]*?(?:[.,;:!?…。！？][\"'”’)\]]*[ \t\r]+|\n|\Z)", re.S)
+MARKS = ".,;:!?…。！？\"'”’)]"
 
 
 def units(text: str) -> list[tuple[int, int, bytes, int]]:
@@ -37,7 +39,7 @@ def units(text: str) -> list[tuple[int, int, bytes, int]]:
     for m in UNIT.finditer(text):
         words = m[0].casefold().split()
         if words:
-            out.append((m.start(), m.end(), xxhash.xxh3_128_digest(" ".join(words).encode()), len(words)))
+            out.append((m.start(), m.end(), xxhash.xxh3_128_digest(" ".join(words).rstrip(MARKS).encode()), len(words)))
     return out
 
 
