@@ -40,7 +40,7 @@ def test_bronze_columns(spark):
     raw = spark.createDataFrame([(" 2024-02 ", "7", "1.0", "x")], "periodo string, cantidadCredito string, cantidadPlasticos string, deuda string")
     row = bronze_columns(normalize.align_columns(raw, EXPECTED_COLUMNS)).first()
     assert (row.periodo, row.anio, row.mes, row.cantidadCredito, row.cantidadPlasticos, row.deuda) == (
-        "2024-02", 2024, 2, 7, None, None,
+        "2024-02", 2024, 2, 7, 1, None,  # a fraction is cut off, as the described cast does
     )
 
 
