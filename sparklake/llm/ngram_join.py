@@ -41,6 +41,7 @@ from sparklake.llm.components import components
 
 SKETCH_BITS = 20
 FILTER_BITS = 24  # of the filter over wanted ids
+BROADCAST_ROWS = 1_000_000  # rows of one or two ids that may be broadcast, 16 MB at most
 CHUNKS = 64
 PAIRS_AT_ONCE = 1_000_000  # pairs of rows that a task holds in memory
 BLOCK = 512  # members of an n-gram's bucket that are compared with each other in one piece
@@ -159,6 +160,11 @@ def _set_rows(n: int, wanted):
     return work
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """Hint a broadcast of stored id rows while they are few; joins shuffle otherwise."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def grams_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """(id, grams) of the documents with these ids.
 
@@ -173,7 +179,10 @@ def grams_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
         bits[row[0]] = np.frombuffer(row[1], np.uint8)
     wanted = docs.sparkSession.sparkContext.broadcast(bits.ravel())
     found = mapped(docs.where("id is not null").select("id", "text", bit), _set_rows(n, wanted), "id bigint, grams binary")
-    return stored(found.join(ids, "id", "left_semi").distinct(), "ngram-grams")
+    sets = stored(found.join(_small(ids), "id", "left_semi"), "ngram-grams")
+    # ids of several rows are rare, and finding them is cheaper than moving all sets
+    again = sets.groupBy("id").count().where("count > 1")
+    return sets if again.isEmpty() else stored(sets.distinct(), "ngram-grams")
 
 
 def _verified(num: int, den: int):
@@ -194,12 +203,18 @@ def _verified(num: int, den: int):
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of ids whose sets reach the threshold."""
+    """The pairs (a, b) of ids whose sets reach the threshold.
+
+    ``pairs`` must be stored. Each pair moves the set of ``b`` to that of ``a`` once, so a hub
+    that is ``a`` of many pairs moves once itself.
+    """
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = grams_of(docs, ids, n)
-    rows = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), "a")
-    rows = rows.join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
-    return stored(mapped(rows.select("a", "b", "x", "y"), _verified(num, den), "a bigint, b bigint"), "ngram-links")
+    sets = grams_of(docs, stored(ids, "ngram-ids"), n)
+    hubs = stored(pairs.select(F.col("a").alias("id")).distinct(), "ngram-ids")
+    one = sets.join(_small(hubs), "id", "left_semi").select(F.col("id").alias("a"), F.col("grams").alias("x"))
+    two = sets.select(F.col("id").alias("b"), F.col("grams").alias("y")).join(_small(pairs), "b")
+    rows = two.join(one, "a").select("a", "b", "x", "y")
+    return stored(mapped(rows, _verified(num, den), "a bigint, b bigint"), "ngram-links")
 
 
 def _may_link(num: int, den: int, x: str, y: str) -> Column:
@@ -301,7 +316,9 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     met = shared.where("not hub").join(hubs, "token").where(_may_link(num, den, "", "h_"))
     best = met.where("id <> h_id").groupBy("id", "h_id").agg(F.count("*").alias("shared"))
     best = best.groupBy("id").agg(F.max_by("h_id", F.struct("shared", -F.col("h_id"))).alias("h_id"))
-    pairs = stored(best.select(F.least("id", "h_id").alias("a"), F.greatest("id", "h_id").alias("b")).distinct(), "ngram-pairs")
+    # once each, where two classes are each other's hub; a is the hub
+    pairs = best.groupBy(F.least("id", "h_id").alias("lo"), F.greatest("id", "h_id").alias("hi")).agg(F.min("h_id").alias("a"))
+    pairs = stored(pairs.select("a", (F.col("lo") + F.col("hi") - F.col("a")).alias("b")), "ngram-pairs")
     links = verified(pairs, rows, n, num, den)
     known = stored(components(links), "ngram-components")
 
@@ -316,7 +333,9 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
         "block", "id", "component", "n", "pos", "sig",
     )
     grouped = apart.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two")
-    more = mapped(grouped, _block_pairs(num, den), "a bigint, b bigint").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = mapped(grouped, _block_pairs(num, den), "a bigint, b bigint").distinct()
+    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = more.join(tried, ["a", "b"], "left_anti")
     more = stored(more, "ngram-pairs")
     if more.isEmpty():
         final = known
