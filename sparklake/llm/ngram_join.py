@@ -40,7 +40,7 @@ from sparklake.llm.arrays import NOT_SPACE, Words, mapped, ngrams, slices, store
 from sparklake.llm.components import components
 
 SKETCH_BITS = 20
-FILTER_BITS = 24  # of the filter over wanted ids
+FILTER_BITS = 26  # of the filters over wanted ids and n-grams
 BROADCAST_ROWS = 1_000_000  # rows of one or two ids that may be broadcast, 16 MB at most
 CHUNKS = 64
 PAIRS_AT_ONCE = 1_000_000  # pairs of rows that a task holds in memory
@@ -148,14 +148,40 @@ def _bits(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": [key[0]], "bits": [np.packbits(bits).tobytes()]})
 
 
-def _set_rows(n: int, wanted):
+def bit_filter(bits: DataFrame) -> np.ndarray:
+    """The values of ``bit`` as a packed array of a fixed size, whatever their number."""
+    size = (1 << FILTER_BITS) // CHUNKS
+    chunk = F.floor(F.col("bit") / size).cast("int").alias("chunk")
+    parts = bits.distinct().select("bit", chunk).groupBy("chunk").applyInPandas(_bits, "chunk int, bits binary")
+    made = np.zeros((CHUNKS, size // 8), np.uint8)
+    for row in parts.collect():  # at most CHUNKS rows of a fixed size
+        made[row[0]] = np.frombuffer(row[1], np.uint8)
+    return made.ravel()
+
+
+def _hit(packed: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (packed[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _perhaps(wanted):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_hit(wanted.value, batch.column("bit").to_numpy(zero_copy_only=False))))
+
+    return work
+
+
+def filtered(df: DataFrame, bits: DataFrame) -> DataFrame:
+    """Rows whose ``bit`` is among ``bits``: most others go before a shuffle, an exact join follows."""
+    held = df.sparkSession.sparkContext.broadcast(bit_filter(bits))
+    return mapped(df, _perhaps(held), df.schema)
+
+
+def _set_rows(n: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(wanted.value).astype(bool)
-        for whole in batches:
-            batch = whole.filter(pa.array(bits[whole.column("bit").to_numpy(zero_copy_only=False)]))
-            for part in slices(iter([batch]), "text"):
-                sets = [x.tobytes() for x in sets_of(part.column("text"), n)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["id", "grams"])
+        for part in slices(batches, "text"):
+            sets = [x.tobytes() for x in sets_of(part.column("text"), n)]
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["id", "grams"])
 
     return work
 
@@ -172,13 +198,8 @@ def grams_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     an exact join follows.
     """
     bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).alias("bit")
-    chunk = F.floor(F.col("bit") / ((1 << FILTER_BITS) // CHUNKS)).cast("int").alias("chunk")
-    parts = ids.select(bit).distinct().select("bit", chunk).groupBy("chunk").applyInPandas(_bits, "chunk int, bits binary")
-    bits = np.zeros((CHUNKS, (1 << FILTER_BITS) // CHUNKS // 8), np.uint8)
-    for row in parts.collect():  # at most CHUNKS rows of a fixed size
-        bits[row[0]] = np.frombuffer(row[1], np.uint8)
-    wanted = docs.sparkSession.sparkContext.broadcast(bits.ravel())
-    found = mapped(docs.where("id is not null").select("id", "text", bit), _set_rows(n, wanted), "id bigint, grams binary")
+    likely = filtered(docs.where("id is not null").select("id", "text", bit), ids.select(bit))
+    found = mapped(likely, _set_rows(n), "id bigint, grams binary")
     sets = stored(found.join(_small(ids), "id", "left_semi"), "ngram-grams")
     # ids of several rows are rare, and finding them is cheaper than moving all sets
     again = sets.groupBy("id").count().where("count > 1")
@@ -305,7 +326,10 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     # n-grams that more than one class has in its prefix, and each one's hub
     near = F.shiftleft(F.least("pos", F.lit(2047)), 52).bitwiseOR(F.col("c1").bitwiseAND((1 << 52) - 1))
     buckets = postings.groupBy("token").agg(F.min(near).alias("hub"), F.max(near).alias("far")).where("hub <> far")
-    shared = postings.join(buckets.select("token", "hub"), "token").withColumn("near", near).distinct()
+    buckets = stored(buckets.select("token", "hub"), "ngram-buckets")
+    bit = F.shiftrightunsigned("token", 8).bitwiseAND((1 << FILTER_BITS) - 1).alias("bit")
+    likely = filtered(postings.select("*", bit), buckets.select(bit)).drop("bit")
+    shared = likely.join(buckets, "token").withColumn("near", near).distinct()
     reps = info.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig"))
     reps = stored(reps, "ngram-classes")
     # by half of a class's hash and its size: a chance match only adds a candidate
