@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from sparklake.llm.arrays import mapped, slices
 
 MEMORY = 500_000  # pieces a task remembers before it starts afresh
-SLICE_BYTES = 24 << 20  # text over which the merges are replayed at once
+SLICE_BYTES = 16 << 20  # text over which the merges are replayed at once
+AT_ONCE = 1 << 19  # places that enter the index in one step
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,7 +61,7 @@ class Merges:
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair of neighbours, -1 where it is no token."""
-        pair = a << 32 | b
+        pair = a.astype(np.int64) << 32 | b
         at = np.searchsorted(self.pairs, pair)
         return np.where((self.pairs[at] == pair) & (a >= 0) & (b >= 0), self.made[at], -1)
 
@@ -76,11 +77,11 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
     size = np.fromiter(map(len, pieces), np.int64, len(pieces))
     ends = np.cumsum(size + 1) - 1
     n = int(size.sum()) + len(pieces)
-    token = np.full(n, -1, np.int64)
+    token = np.full(n, -1, np.int32)
     inside = np.ones(n, bool)
     inside[ends] = False
     token[inside] = merges.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
-    right, left = np.arange(1, n + 1), np.arange(-1, n - 1)
+    right, left = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
     index: dict[int, list[np.ndarray]] = {}
     heap: list[int] = []
 
@@ -108,8 +109,9 @@ def replay(pieces: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]
         enter(places, ranks)
         return ranks
 
-    if n > 1:
-        enter(np.arange(n - 1), merges.rank(token[:-1], token[1:]))
+    for k in range(0, n - 1, AT_ONCE):
+        at = np.arange(k, min(n - 1, k + AT_ONCE), dtype=np.int32)
+        enter(at, merges.rank(token[at], token[at + 1]))
     while heap:
         rank = heapq.heappop(heap)
         places = np.sort(np.concatenate(index.pop(rank)))
@@ -160,7 +162,7 @@ class Replay:
         self.ids = np.empty(0, np.int32)
         self.first = np.zeros(1, np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
         """The pieces of all texts by number, and where each text's begin."""
         if len(self.number) > MEMORY:
             self.forget()
@@ -168,12 +170,12 @@ class Replay:
         rows = []
         for text in texts:
             pieces = self.cut(text)
-            rows.append(np.fromiter((number.setdefault(x, len(number)) for x in pieces), np.int64, len(pieces)))
+            rows.append(np.fromiter((number.setdefault(x, len(number)) for x in pieces), np.int32, len(pieces)))
         new = [x.encode() for x in islice(number, known, None)]
         ids, first = replay(new, self.merges)
         self.first = np.concatenate([self.first, first[1:] + self.first[-1]])
         self.ids = np.concatenate([self.ids, ids])
-        return np.concatenate([*rows, np.empty(0, np.int64)]), np.cumsum([0, *map(len, rows)])
+        return np.concatenate([*rows, np.empty(0, np.int32)]), np.cumsum([0, *map(len, rows)])
 
 
 def _encoder(path: str, pattern: str, lengths_only: bool):
@@ -181,7 +183,7 @@ def _encoder(path: str, pattern: str, lengths_only: bool):
         bpe = Replay(path, pattern)
 
         def made(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pieces, at = bpe.encode([x for batch in rows for x in batch.column("text").to_pylist()])
+            pieces, at = bpe.encode(x for batch in rows for x in batch.column("text").to_pylist())
             size = np.diff(bpe.first)
             done = 0
             for batch in rows:
