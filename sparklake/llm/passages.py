@@ -4,9 +4,9 @@ A text is cut into units at line breaks and after the marks that end sentences a
 that a passage glued into a line is found too, and one that was changed in a word loses little.
 Units are normalised (case folded, white space collapsed, end marks off) and their 128-bit digests
 are grouped over the corpus. The earliest ranked occurrence stays: the one in the document with
-the smallest id, and there the first. Later ones are removed where they stand in a run of
-repeated units with at least ``min_words`` words, so that chance repeats of short sentences stay.
-Removed ranges keep their offsets in the original text.
+the smallest id, and there the first. Every later one is removed, a line or clause that stands
+alone as well; adjacent ones make one range. Callers can spare runs of fewer than ``min_words``
+words. Removed ranges keep their offsets in the original text.
 
 Cases: a null or empty text has no units and keeps its (empty) text; rows with the same id are
 one document, so a copied row with the same id loses nothing to its twin; a null id ranks first;
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sparklake.llm.arrays import mapped, slices
 
-MIN_WORDS = 30
+MIN_WORDS = 1  # of a removed run: each unit has a word, so all go
 # a unit ends after a line break, or after a mark that white space follows
 UNIT = re.compile(r"[^\n]*?(?:[.,;:!?…。！？][\"'”’)\]]*[ \t\r]+|\n|\Z)", re.S)
 MARKS = ".,;:!?…。！？\"'”’)]"

@@ -263,6 +263,33 @@ def test_passages_equal_brute_force(docs, rows):
         assert [(s.start, s.end) for s in r.removed] == spans
 
 
+def test_short_passages_and_single_lines(spark):
+    rng = np.random.default_rng(8)
+    made = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 8)) for _ in range(n))
+    line, lone = made(9), made(11)
+    # 54 words, of which 36 lie in sentences that the text around does not touch
+    sentences = [made(9) for _ in range(6)]
+    passage = ". ".join(sentences)
+    rows = [(i, f"{made(40)}\n{line}\n{made(30)} {passage} {made(20)}, {made(12)}") for i in range(8)]
+    rows += [(20 + i, f"{made(15)}\n{line}\n{made(15)}") for i in range(5)] + [(30, f"{made(9)}\n{lone}\n{made(9)}"), (31, lone)]
+    # a run of three whole sentences, 27 words
+    half = ". ".join(sentences[1:4])
+    rows += [(40 + i, f"{made(14)}. {half}. {made(14)}") for i in range(3)]
+    got = {r.doc_id: r for r in passages.op5(cases.documents(spark, rows)).collect()}
+    again = [line, lone, *sentences[1:-1]]
+    for i, text in rows:
+        kept, at = [], 0
+        for s in got[i].removed:
+            kept.append(text[at : s.start])
+            at = s.end
+        kept = "".join([*kept, text[at:]])
+        assert sha(kept) == got[i].kept_sha256
+        for x in again:
+            assert kept.count(x) == (x in text and i == min(j for j, t in rows if x in t)), (i, x)
+        own = [w for w in text.split() if sum(w in t for _, t in rows) == 1]
+        assert all(w in kept for w in own)
+
+
 # ---- 6: lengths
 
 
