@@ -22,6 +22,8 @@ Cases: a null or empty text, or one without words, has an empty set and is linke
 text with fewer than n words has its whole sequence as its only n-gram; rows with the same id
 count as one document; ties go to the smallest id; columns beside id and text are left out here
 and pass through ``representatives`` whatever their names are; an empty table gives an empty one.
+A null id has no set and no component here, as in the SQL; for ``representatives`` each row without
+an id is a document of its own, which links as others do and stays unless another one stands for it.
 """
 
 from __future__ import annotations
@@ -321,7 +323,7 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     info, sketch = described(rows, n)
     held = spark.sparkContext.broadcast(sketch)
     schema = "token bigint, c1 bigint, n bigint, pos bigint"
-    postings = stored(mapped(rows.select("text"), _postings(n, num, den, held), schema), "ngram-postings")
+    postings = stored(mapped(rows.where("id is not null").select("text"), _postings(n, num, den, held), schema), "ngram-postings")
 
     # n-grams that more than one class has in its prefix, and each one's hub
     near = F.shiftleft(F.least("pos", F.lit(2047)), 52).bitwiseOR(F.col("c1").bitwiseAND((1 << 52) - 1))
@@ -330,7 +332,7 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     bit = F.shiftrightunsigned("token", 8).bitwiseAND((1 << FILTER_BITS) - 1).alias("bit")
     likely = filtered(postings.select("*", bit), buckets.select(bit)).drop("bit")
     shared = likely.join(buckets, "token").withColumn("near", near).distinct()
-    reps = info.where("n > 0").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+    reps = info.where("n > 0 and id is not null").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig"))
     reps = stored(reps, "ngram-classes")
     # by half of a class's hash and its size: a chance match only adds a candidate
     shared = stored(shared.join(reps.drop("c2"), ["c1", "n"]).select("token", "id", "n", "pos", "sig", (F.col("near") == F.col("hub")).alias("hub")), "ngram-shared")
@@ -369,15 +371,47 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
 
     classes = reps.select("c1", "c2", "id").join(final, "id", "left").select("c1", "c2", F.coalesce("component", "id").alias("component"))
     return info.join(classes, ["c1", "c2"], "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id").isNull(), 0).otherwise(F.col("n")).alias("n_shingles"),
+        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
     )
 
 
+def _numbered(docs: DataFrame, known: Column) -> tuple[DataFrame, int, int]:
+    """Rows without an id as (id, row), and the range, end exclusive, of ids that no other row has.
+
+    Written once, so that the numbers hold; they follow the places of rows in partitions.
+    """
+    at = F.monotonically_increasing_id().alias("at")
+    lone = stored(docs.where(known.isNull()).select(at, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "ngram-lone")
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    parts, places = lone.agg(F.max(part) + 1, F.max(place) + 1).first()
+    least, most = docs.agg(F.min(known), F.max(known)).first()
+    size = parts * places
+    start = 0 if most is None else most + 1 if most + size < 1 << 63 else least - size
+    if start < -(1 << 63):
+        raise ValueError("ids leave no room for rows without one")
+    return lone.select((F.lit(start).cast("bigint") + place * F.lit(parts) + part).alias("id"), "row"), start, start + size
+
+
 def representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One document of each component, the one with the least id, with all columns."""
-    of = link_components(docs, n, num, den, text, doc_id)
-    stay = of.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(stay, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept")), "left_semi")
+    """One document of each component, the one with the least id, with all columns.
+
+    Rows without an id are compared like others; one of them stays only where none has an id.
+    """
+    known = F.col(f"`{doc_id}`").cast("bigint")
+    if docs.where(known.isNull()).isEmpty():
+        of = link_components(docs, n, num, den, text, doc_id)
+        stay = of.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+        return docs.join(stay, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept")), "left_semi")
+    lone, start, end = _numbered(docs, known)
+    both = docs.where(known.isNotNull()).select(known.alias("id"), F.col(f"`{text}`").alias("text"))
+    both = both.union(lone.select("id", F.col(f"row.`{text}`")))
+    of = link_components(both, n, num, den, "text", "id")
+    own = F.struct(F.col("doc_id").between(start, end - 1), "doc_id")
+    stay = of.groupBy("component_id").agg(F.min(own)["doc_id"].alias("_kept")).select("_kept")
+    named = docs.join(stay, known == F.col("_kept"), "left_semi")
+    return named.union(lone.join(stay, F.col("id") == F.col("_kept"), "left_semi").select("row.*"))
 
 
 def op2(docs: DataFrame) -> DataFrame:

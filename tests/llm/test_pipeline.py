@@ -57,3 +57,21 @@ def test_run_and_empty_tables(spark, folder, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_documents_without_an_id_stay(spark, folder, tmp_path):
+    path, _, _ = folder
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{path}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    clean = [cases.prose(80, 9000 + i) for i in range(3)]
+    rows = [(i, cases.prose(80, 9100 + i)) for i in range(5)] + [(None, x) for x in [*clean, clean[0], "", None]]
+    cases.documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        # of two copies without an id one stays, from the join on
+        left = len(rows) - (name in ("near_duplicates", "decontamination"))
+        assert docs.count() == left, name
+    assert sorted(r.text for r in docs.where("doc_id is null").collect() if r.text) == sorted(clean)
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.where("doc_id is null and restored").count() == len(clean) + 2

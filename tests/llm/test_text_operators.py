@@ -119,6 +119,46 @@ def test_ngram_join_keeps_one_of_each_component(spark, docs, rows, none):
     assert ngram_join.op2(none).collect() == []
 
 
+def null_id_rows(rows):
+    """Rows without an id: alone, empty, copies and near copies of others and of each other."""
+    lone, text = cases.prose(90, 7001), dict(rows)
+    copies = [lone, lone, cases.changed(lone, 1, 1), text[5], cases.changed(text[6], 2, 2)]
+    return [(None, x) for x in [None, "", cases.prose(80, 7000), cases.prose(3, 7002), *copies]]
+
+
+def kept_by_all_pairs(rows, n, num, den):
+    """(id, text) that stay, where rows without an id come last and stand for no other."""
+    keys = [((1, k) if i is None else (0, i), t) for k, (i, t) in enumerate(rows)]
+    stay = {c for _, c in linked(keys, n, num, den).values()}
+    return Counter((None if k[0] else k[1], t) for k, t in keys if k in stay)
+
+
+@pytest.mark.parametrize("last", [5000, 2**63 - 1])
+def test_ngram_join_keeps_rows_without_an_id(spark, rows, last):
+    some = [r for r in rows if r[0] < 200 or 399 < r[0] < 407 or r[0] == 500]
+    some += [*null_id_rows(rows), (last, cases.prose(80, 7005))]
+    got = ngram_join.representatives(cases.clashing(cases.documents(spark, some)))
+    assert got.columns == cases.clashing(cases.documents(spark, some)).columns
+    want = kept_by_all_pairs(some, 5, 80, 100)
+    found = Counter((r.doc_id, r.text) for r in got.collect())
+    # of near copies that all lack an id, any one may stay
+    near = {(None, cases.changed(cases.prose(90, 7001), 1, 1)), (None, cases.prose(90, 7001))}
+    assert sum(found.pop(x, 0) for x in near) == sum(want.pop(x, 0) for x in near) == 1
+    assert found == want and found[None, None] == found[None, ""] == found[None, cases.prose(80, 7000)] == 1
+
+
+def test_ngram_join_of_rows_without_an_id_alone(spark, rows):
+    only = null_id_rows(rows)
+    assert ngram_join.representatives(cases.documents(spark, only)).count() == len(only) - 2
+
+
+def test_null_ids_have_no_component(spark, rows):
+    some = [r for r in rows if r[0] < 250]
+    got = ngram_join.link_components(cases.documents(spark, [*some, *null_id_rows(rows)]), 3, 90, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == linked(some, 3, 90, 100)
+    assert [tuple(r) for r in got if r.doc_id is None] == [(None, 0, None)] * len(null_id_rows(rows))
+
+
 def test_ngram_join_splits_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
     base = cases.prose(100, 1)
