@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sparklake.llm import bpe, decontaminate, lengths, lines, ngram_join, passages, quality, secrets, toxicity, urls
+from sparklake.llm import bpe, decontaminate, lengths, lines, ngram_join, passages, phrases, quality, secrets, slots, toxicity, turns, urls
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -31,6 +31,9 @@ QUERIES = {
     "op8_decontamination": lambda s, d: decontaminate.op8(_documents(s, d), _table(s, d, "benchmark")),
     "op9_url_filter": lambda s, d: urls.op9(_table(s, d, "pages")),
     "op10_toxicity": lambda s, d: toxicity.op10(_documents(s, d), _table(s, d, "labels")),
+    "op11_phrases": lambda s, d: phrases.op11(_documents(s, d)),
+    "op12_virtual_slots": lambda s, d: slots.op12(_documents(s, d)),
+    "op13_conversation_repair": lambda s, d: turns.op13(_table(s, d, "conversations")),
     "pipeline": corpus_pipeline.run,
 }
 
@@ -87,6 +90,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """,
     "op9_url_filter": urls.ORACLE,
+    "op11_phrases": rf"""
+WITH p AS (SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT doc_id, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, k, g, count(*) AS f, min(doc_id) AS doc FROM (
+    SELECT doc_id, lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT doc_id, lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) AS t(k) WHERE len(w) >= k))
+  GROUP BY lang, k, g),
+n AS (SELECT lang, CAST(sum(f) AS HUGEINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f, doc, string_split(g, ' ') AS w FROM g WHERE k > 1 AND f >= 100),
+cut AS (
+  SELECT lang, g, f, doc, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+s AS (
+  SELECT cut.lang, cut.g, cut.f AS a, cut.doc, j, x.f AS l, y.f AS r, n, (1000::HUGEINT * cut.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN g AS x ON x.lang = cut.lang AND x.g = x JOIN g AS y ON y.lang = cut.lang AND y.g = y JOIN n ON n.lang = cut.lang),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+held AS (
+  SELECT DISTINCT lang, f, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT lang, f, w, m, unnest(range(1, k - m + 2)) AS i FROM c, range(2, 5) AS t(m) WHERE k > m)),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+  FROM best WHERE NOT EXISTS (FROM held WHERE held.lang = best.lang AND held.g = best.g AND held.f >= best.a))
+SELECT lang, CAST(rank AS BIGINT) AS rank, g AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score, doc AS first_doc
+FROM top WHERE rank <= 2000
+""",
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
