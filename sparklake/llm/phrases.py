@@ -35,7 +35,7 @@ from sparklake.llm.arrays import Words, hashes, mapped, mix, slices, stored
 
 MOST_WORDS = 5
 SLICE_BYTES = 4 << 20
-HELD = 1 << 21  # distinct fingerprints, or phrases, that a task counts before it hands them on
+HELD = 1 << 21  # distinct fingerprints that a task counts before it hands them on
 ROWS = 1 << 16  # rows of a batch that leaves a task
 UNKNOWN = "und"
 NOWHERE = (1 << 63) - 1
@@ -99,9 +99,16 @@ class Runs:
             own[i] = len(first) + seen.setdefault(data[start[i] : self.words.end[i]].tobytes(), len(seen))
         return own
 
-    def phrase(self, at: int, n: int) -> str:
-        w = self.words
-        return b" ".join(w.data[a:b].tobytes() for a, b in zip(w.start[at : at + n], w.end[at : at + n], strict=True)).decode()
+    def phrases(self, at: np.ndarray, n: int) -> pa.Array:
+        """The words of the runs of ``n`` words at these places, with one space between them."""
+        words = (at[:, None] + np.arange(n)).ravel()
+        start, size = self.words.start[words], (self.words.end - self.words.start)[words]
+        size[np.arange(len(size)) % n < n - 1] += 1  # with the byte after the word, which separates it from the next
+        ends = np.cumsum(size)
+        where = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
+        data = np.where(WORD[self.words.data[where]], self.words.data[where], np.uint8(0x20))
+        offsets = np.concatenate([[0], ends[n - 1 :: n]]).astype(np.int32)
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -157,16 +164,6 @@ def _write_out(known: list, width: int):
     """The phrases behind frequent fingerprints, with counts and a pointer, compared with the text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], list] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            rows = [(*k, n, f, None if doc == NOWHERE else doc) for k, (n, f, doc) in held.items()]
-            for k in range(0, len(rows), ROWS):
-                columns = list(zip(*rows[k : k + ROWS], strict=True))
-                kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["lang", "phrase", "size", "f", "doc"])
-            held.clear()
-
         for batch in slices(batches, "text", SLICE_BYTES):
             runs, number = Runs(batch, width), None
             ids = batch.column("doc").fill_null(NOWHERE).to_numpy(zero_copy_only=False)
@@ -177,23 +174,23 @@ def _write_out(known: list, width: int):
                     continue
                 number = runs.numbers() if number is None else number
                 _, first, own = np.unique(key[at], return_index=True, return_inverse=True)
-                same = np.ones(len(at), bool)
+                same = runs.lang[runs.text[at]] == runs.lang[runs.text[at[first[own]]]]
                 for k in range(n):
                     same &= number[at + k] == number[at[first[own]] + k]
-                same &= runs.lang[runs.text[at]] == runs.lang[runs.text[at[first[own]]]]
                 doc = ids[runs.text[at]]
                 least = np.full(len(first), NOWHERE)
                 np.minimum.at(least, own[same], doc[same])
-                groups = zip(at[first].tolist(), np.bincount(own[same], minlength=len(first)).tolist(), least.tolist(), strict=True)
-                others = zip(at[~same].tolist(), doc[~same].tolist(), strict=True)
-                for place, count, pointer in [*groups, *((i, 1, d) for i, d in others)]:
-                    lang = runs.langs[runs.lang[runs.text[place]]]
-                    entry = held.setdefault((lang, runs.phrase(place, n)), [n, 0, NOWHERE])
-                    entry[1] += count
-                    entry[2] = min(entry[2], pointer)
-            if len(held) >= HELD // 8:
-                yield from out()
-        yield from out()
+                # each occurrence that differs from the first of its fingerprint is a row of its own
+                places = np.concatenate([at[first], at[~same]])
+                counts = np.concatenate([np.bincount(own[same], minlength=len(first)), np.ones(int((~same).sum()), np.int64)])
+                least = np.concatenate([least, doc[~same]])
+                langs = pa.array(runs.langs, pa.string()).take(pa.array(runs.lang[runs.text[places]]))
+                for k in range(0, len(places), ROWS):
+                    part = slice(k, k + ROWS)
+                    size = pa.array(np.full(len(places[part]), n, np.int32))
+                    pointer = pa.array(least[part], mask=least[part] == NOWHERE)
+                    columns = [langs[part], runs.phrases(places[part], n), size, pa.array(counts[part]), pointer]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "f", "doc"])
 
     return work
 
@@ -268,8 +265,12 @@ def collocations(
     """(lang, rank, phrase, a, l, r, n, score, doc): each language's ``top`` phrases."""
     phrases, totals = frequent(docs, least, text, lang, doc_id, width)
     rows = scored(phrases, totals).join(outermost(phrases), ["lang", "phrase"], "left_semi")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # the first of each of 64 parts of a language, then the first of those
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64))
+    ranked = rows.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+    ranked = ranked.where(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    ranked = ranked.where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score", "doc")
 
 
