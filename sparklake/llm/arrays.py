@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -26,6 +27,8 @@ _LOWER[65:91] += 32
 def prepare(spark: SparkSession) -> SparkSession:
     """Keep Arrow batches small, as documents are long, and let Python workers find this package."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    # split a hot join key even where that costs one more shuffle afterwards
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     paths = [str(Path(__file__).resolve().parents[2]), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     spark.sparkContext.environment.setdefault("PYTHONPATH", os.pathsep.join(filter(None, paths)))
     return spark
@@ -71,10 +74,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
                 yield batch.slice(a, b - a)
 
 
+def with_row(df: DataFrame, more: str, row: str = "row") -> StructType:
+    """The schema of ``row`` as it is in ``df``, whatever its fields' names are, and of more columns."""
+    return StructType([StructField(row, df.schema[row].dataType), *StructType.fromDDL(more).fields])
+
+
 def mapped(
     df: DataFrame,
     work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` over small batches."""
     prepare(df.sparkSession)

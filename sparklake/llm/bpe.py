@@ -22,14 +22,16 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.arrays import mapped, slices
+from sparklake.llm.arrays import mapped, slices, with_row
 
 MEMORY = 500_000  # pieces a task remembers before it starts afresh
 SLICE_BYTES = 16 << 20  # text over which the merges are replayed at once
+IDS_AT_ONCE = 1 << 20  # ids of a batch that is decoded, or one row
 AT_ONCE = 1 << 19  # places that enter the index in one step
 
 
@@ -224,18 +226,31 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", lengths
     """
     df = docs.select(*_packed(docs, text), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     kind = "bigint" if lengths_only else "array<int>"
-    return mapped(df, _encoder(path, pattern, lengths_only), f"row {df.schema['row'].dataType.simpleString()}, made {kind}")
+    return mapped(df, _encoder(path, pattern, lengths_only), with_row(df, f"made {kind}"))
 
 
 def _decoder(path: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = {b: a for a, b in read_ranks(path).items()}
+        ranks = read_ranks(path)
+        size = np.full(max(ranks.values(), default=-1) + 1, -1, np.int64)
+        size[list(ranks.values())] = [len(token) for token in ranks]
+        start = np.cumsum(np.maximum(size, 0)) - np.maximum(size, 0)
+        token = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)
         for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                part = batch.slice(k, 64)
-                ids = part.column("ids")
-                made = [b"".join(map(token.__getitem__, row or ())) for row in ids.to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("row"), ids, pa.array(made, pa.binary())], ["row", "ids", "bytes"])
+            lengths = pc.list_value_length(batch.column("ids")).fill_null(0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(lengths, dtype=np.int64) // IDS_AT_ONCE
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                rows = batch.slice(a, b - a)
+                ids = rows.column("ids").flatten().to_numpy(zero_copy_only=False)
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(size) or (size[ids] < 0).any()):
+                    raise KeyError("an id that the vocabulary lacks")
+                ends = np.cumsum(size[ids])
+                # the bytes of all tokens, one after another
+                made = token[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[ids] - (ends - size[ids]), size[ids])]
+                offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths[a:b])])]
+                out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(made)])
+                yield pa.RecordBatch.from_arrays([rows.column("row"), rows.column("ids"), out.cast(pa.binary())], ["row", "ids", "bytes"])
 
     return work
 
@@ -243,19 +258,29 @@ def _decoder(path: str):
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Add ``bytes`` to rows with ``row`` and ``ids``: the tokens' bytes, joined."""
     df = encoded.select("row", "ids")
-    return mapped(df, _decoder(path), f"row {df.schema['row'].dataType.simpleString()}, ids array<int>, bytes binary")
+    return mapped(df, _decoder(path), with_row(df, "ids array<int>, bytes binary"))
 
 
 def encoded_and_checked(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """The columns but the text, with ``ids``, ``n_tokens`` and ``restored``: whether the ids
-    decode to the text's bytes.
+    decode to the text's bytes. A column that has one of these names becomes ``own_`` and its name.
     """
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("_none")]
     df = docs.select(F.struct(*rest).alias("rest"), F.sha2(whole.cast("binary"), 256).alias("digest"), whole.alias("text"))
+    made = ("ids", "n_tokens", "restored")
+
+    def free(name: str) -> str:
+        if name not in made:
+            return name
+        new = f"own_{name}"
+        while new in docs.columns:
+            new = f"own_{new}"
+        return new
+
     decoded = decode(encode(df, path, pattern).withColumnRenamed("made", "ids"), path)
     return decoded.select(
-        *[F.col(f"row.rest.`{c}`").alias(c) for c in docs.columns if c != text and c not in ("ids", "n_tokens", "restored")],
+        *[F.col(f"row.rest.`{c}`").alias(free(c)) for c in docs.columns if c != text],
         "ids",
         F.size("ids").cast("bigint").alias("n_tokens"),
         (F.sha2("bytes", 256) == F.col("row.digest")).alias("restored"),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.arrays import ALNUM, Words, hashes, mapped, slices, stored
+from sparklake.llm.arrays import ALNUM, Words, hashes, mapped, slices, stored, with_row
 
 BITS = 24  # words are hashed to so many bits; few of the values get a weight
 PREFIXES = (4, 5, 6)  # bytes of word beginnings, for stems that take many endings
@@ -177,6 +177,8 @@ def fit(
     # unlabelled texts stand for all texts, so a confirmed one may be among them too
     others = rows.select("id").where(~held_out("id")).distinct().orderBy(*order).limit(unlabelled)
     wanted = others.withColumn("positive", F.lit(False)).union(confirmed.withColumn("positive", F.lit(True)))
+    # ids are as many as the sample's bounds allow; the texts stay where they are
+    wanted = F.broadcast(stored(wanted, "toxicity-ids"))
     sample = mapped(rows.join(wanted, "id").select("positive", "text"), _extract, "positive boolean, words binary")
     sample = stored(sample, "toxicity-sample")
     sizes = dict(sample.groupBy("positive").count().collect())
@@ -214,7 +216,7 @@ def score(docs: DataFrame, model: Linear | None, text: str = "text") -> DataFram
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
     held = docs.sparkSession.sparkContext.broadcast(model)
-    return mapped(df, _scorer(held), f"row {df.schema['row'].dataType.simpleString()}, score double")
+    return mapped(df, _scorer(held), with_row(df, "score double"))
 
 
 def clean(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = 0.5, **options) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.arrays import mapped
+from sparklake.llm.arrays import mapped, with_row
 
 BLOCK = 64
 REROLE, DELETE, INSERT, CUT = 3, 4, 3, 3
@@ -221,7 +221,7 @@ def repaired(rows: DataFrame) -> DataFrame:
     """
     told = rows.select("conv", "turn", "role", "text", _blank(F.col("text")).alias("blank"), _truncated(F.col("text")).alias("truncated"), "present")
     dealt = told.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text")
-    return mapped(dealt, _conversations, f"conv {rows.schema['conv'].dataType.simpleString()}, made {_MADE}")
+    return mapped(dealt, _conversations, with_row(rows, f"made {_MADE}", "conv"))
 
 
 def op13(conversations: DataFrame) -> DataFrame:
