@@ -25,16 +25,21 @@ def loans_frame(spark: SparkSession, landing: str, capture: dt.date) -> DataFram
     return align_columns(raw, EXPECTED_COLUMNS, lineage).transform(bronze_columns)
 
 
+@audit.job
 def load_loans(spark: SparkSession, lake: Lake) -> int:
     """Newest loan capture to bronze: one scan, one write, months replaced as a whole.
 
-    Rows without a readable month go to the NULL partition instead of being lost.
+    Rows without a readable month go to the NULL partition instead of being lost. A load that lost
+    its driver is named in the ledger, so silver looks for its rows in the table itself.
     """
     audit.log_odd_folders(spark, lake.log, "landing_to_bronze", files.odd_folders(spark, lake.loans_landing))
     capture = files.latest_capture(spark, lake.loans_landing)
+    ledger.seed(spark, lake.loans_bronze, "anio")
+    ledger.recover(spark, lake.loans_bronze)
+    load = ledger.begin(spark, lake.loans_bronze, ledger.OVERWRITE, capture)
     rows = loans_frame(spark, lake.loans_landing, capture)
     told = write_told(rows, lake.loans_bronze, ["anio", "mes"], None, "overwrite")
-    ledger.record(spark, lake.loans_bronze, capture, told["rows"], told["values"])
+    ledger.commit(spark, load, capture, told["rows"], told["values"])
     return told["rows"]
 
 
@@ -57,6 +62,7 @@ def load_macro(spark: SparkSession, lake: Lake, dataset: str) -> int | None:
     return write_partitions(rows, lake.macro_bronze(dataset), [CAPTURE_DATE])
 
 
+@audit.job
 def load_all_macro(spark: SparkSession, lake: Lake) -> dict[str, int | str | None]:
     """Every series on its own: a missing or unreadable one does not stop the others."""
     results: dict[str, int | str | None] = {}

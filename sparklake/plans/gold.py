@@ -86,6 +86,7 @@ def refresh_alerts(spark: SparkSession, lake: Lake, start: dt.date, warm_up: boo
     return replace_from(spark, keyed, lake.alerts, ALERT_PARTITION, first, ["provincia"])
 
 
+@audit.job
 def load_gold(
     spark: SparkSession,
     lake: Lake,

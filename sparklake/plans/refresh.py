@@ -14,6 +14,7 @@ from sparklake.sinks import audit
 from sparklake.sinks.tables import read_table
 
 
+@audit.job
 def check_quality(spark: SparkSession, lake: Lake) -> tuple[str, str]:
     """Status and message of the checks, also written to the run log."""
     start = audit.utc_now()
@@ -25,6 +26,7 @@ def check_quality(spark: SparkSession, lake: Lake) -> tuple[str, str]:
     return result.status, result.message
 
 
+@audit.job
 def run_refresh(spark: SparkSession, lake: Lake, route: str = "bronze", mode: str = "append") -> str:
     """Run all steps; returns the quality status.
 

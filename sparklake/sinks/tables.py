@@ -33,14 +33,19 @@ def write_partitions(
     partition_by: list[str],
     sort_by: list[str] | None = None,
     mode: str = "overwrite",
+    prefix: str | None = None,
 ) -> int:
     """Write ``df`` partitioned and clustered; returns the number of rows written."""
-    return write_told(df, path, partition_by, sort_by, mode)["rows"]
+    return write_told(df, path, partition_by, sort_by, mode, prefix)["rows"]
 
 
-def write_told(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, mode: str) -> dict:
+def write_told(
+    df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, mode: str, prefix: str | None = None
+) -> dict:
     """The write itself; returns the row count and the values of the first partition column.
 
+    With ``prefix`` the names of the files begin with it, as the tasks write them.
+
     The rebalance keeps one partition value together as long as it is small and splits it
     over several tasks when it is not, so a month that holds a third of the rows is
     written by many tasks. Rows and partition values (as many as the table has folders)
@@ -54,12 +59,10 @@ def write_told(df: DataFrame, path: str, partition_by: list[str], sort_by: list[
     counted = laid_out.observe(
         metrics, F.count(F.lit(1)).alias("rows"), F.collect_set(first).alias("values")
     )
-    (
-        counted.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    writer = counted.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    if prefix:
+        writer = writer.option("mapreduce.output.basename", prefix)
+    writer.partitionBy(*partition_by).parquet(path)
     return metrics.get
 
 

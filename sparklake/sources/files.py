@@ -25,6 +25,28 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that readers see as a whole: under a hidden name first, then renamed."""
+    fs, target = _file_system(spark, path)
+    hidden = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.part")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, target):
+        raise OSError(f"{path} is not written")
+
+
+def delete_matching(spark: SparkSession, table: str, pattern: str, depth: int = 1) -> int:
+    """Remove a partitioned table's files whose names match; returns how many there were."""
+    fs, path = _file_system(spark, f"{table}{'/*' * depth}/{pattern}")
+    found = fs.globStatus(path) or []
+    for status in found:
+        fs.delete(status.getPath(), False)
+    return len(found)
+
+
 def partition_values(spark: SparkSession, base: str, key: str) -> list[str]:
     """Values of the ``key=value`` folders directly below ``base``, unsorted.
 
