@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,16 +28,19 @@ def check_quality(spark: SparkSession, lake: Lake) -> tuple[str, str]:
 
 
 @audit.job
-def run_refresh(spark: SparkSession, lake: Lake, route: str = "bronze", mode: str = "append") -> str:
-    """Run all steps; returns the quality status.
+def run_refresh(
+    spark: SparkSession, lake: Lake, route: str = "bronze", mode: str = "append", start: dt.date | None = None
+) -> str:
+    """Run all steps; returns the quality status. ``start`` is gold's first month, see ``load_gold``.
 
     ``route`` is where silver is fed from: ``bronze`` or ``landing``.
     """
+    first = start
     name, start = f"full_refresh_{uuid.uuid4()}", audit.utc_now()
     load = {"bronze": silver.load_from_bronze, "landing": silver.load_from_landing}[route]
     steps = [
         (f"paso 1: {route.capitalize()} → Silver", lambda: load(spark, lake, mode)),
-        ("paso 2: Silver → Gold", lambda: gold.load_gold(spark, lake)),
+        ("paso 2: Silver → Gold", lambda: gold.load_gold(spark, lake, first)),
         ("paso 3: calidad", lambda: check_quality(spark, lake)),
     ]
     audit.log_event(spark, lake.log, name, audit.STARTED, "inicio", start)

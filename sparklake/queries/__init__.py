@@ -2,6 +2,7 @@
 
 from sparklake.queries import (  # noqa: F401  (importing registers the queries)
     gold,
+    jobs,
     macro,
     payloads,
     quality,
