@@ -21,7 +21,7 @@ from sparklake.schemas import (
     SILVER_SCHEMA,
 )
 from sparklake.sinks import audit
-from sparklake.sinks.tables import read_table, replace_from, upsert
+from sparklake.sinks.tables import partition_values, read_table, replace_from, upsert
 from sparklake.sources import files
 from sparklake.sources.landing import CAPTURE_DATE, read_partitioned
 
@@ -36,7 +36,7 @@ def months_back(day: dt.date, months: int) -> dt.date:
 
 def first_month(spark: SparkSession, path: str) -> dt.date:
     """Two months before gold's newest month: read from the folder names."""
-    months = [v for v in files.partition_values(spark, path, PARTITION) if v[:1].isdigit()]
+    months = [v for v in partition_values(spark, path, PARTITION) if v[:1].isdigit()]
     if not months:
         return dt.date.fromisoformat(FIRST_PERIOD)
     return months_back(dt.date.fromisoformat(max(months)), LOOKBACK_MONTHS)

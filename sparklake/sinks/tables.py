@@ -2,29 +2,64 @@
 
 Every overwrite replaces whole partitions (dynamic mode): Spark writes the new files beside
 the old ones and swaps folders when the job commits, so lost executors are retried against
-unchanged input. Upserts, which read what they replace, stage their result first and can be
-completed after a lost driver, see ``swap_partitions``.
+unchanged input. Upserts, which read what they replace, make a new version of the table, see
+``snapshots``.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparklake.operators.merge import upserted
 from sparklake.session import shared_dir
+from sparklake.sinks import snapshots
 from sparklake.sources import files
 
 
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder for rows without a value
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table, or an empty frame with its schema before the first write."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """The table, or an empty frame with its schema before the first write.
+
+    Of a table with versions it is the newest one, or the one asked for.
+    """
     if not files.exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    reader = spark.read.schema(schema).option("basePath", path)
+    parts = snapshots.live_parts(spark, path, version)
+    if parts is None:
+        return reader.parquet(path)
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return reader.parquet(*snapshots.globs(path, files.partition_key(spark, path), parts))
+
+
+def partition_values(spark: SparkSession, path: str, partition: str) -> list[str]:
+    """The values of the partition column that the table holds, unsorted."""
+    parts = snapshots.live_parts(spark, path)
+    return files.partition_values(spark, path, partition) if parts is None else list(parts)
+
+
+def drop_partitions(spark: SparkSession, path: str, partition: str, values: set[str]) -> None:
+    """Remove whole partitions: from the next version, or the folders of a plain table."""
+    parts = snapshots.live_parts(spark, path)
+    if parts is None:
+        for value in values:
+            files.delete(spark, f"{path}/{partition}={value}")
+    elif values & set(parts):
+        snapshots.publish(spark, path, {v: loads for v, loads in parts.items() if v not in values})
+
+
+def told_by(metrics: Observation) -> dict:
+    """The metrics of a finished write; none where Spark has found the input empty and skipped it."""
+    try:
+        return metrics.get
+    except Py4JJavaError:
+        return {}
 
 
 def write_partitions(
@@ -44,7 +79,9 @@ def write_told(
 ) -> dict:
     """The write itself; returns the row count and the values of the first partition column.
 
-    With ``prefix`` the names of the files begin with it, as the tasks write them.
+    With ``prefix`` the names of the files begin with it, as the tasks write them. A table
+    with versions gets a new one, in which the files take the place of those of their partitions
+    (``overwrite``) or stand beside them.
 
     The rebalance keeps one partition value together as long as it is small and splits it
     over several tasks when it is not, so a month that holds a third of the rows is
@@ -59,21 +96,17 @@ def write_told(
     counted = laid_out.observe(
         metrics, F.count(F.lit(1)).alias("rows"), F.collect_set(first).alias("values")
     )
-    writer = counted.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    parts = snapshots.live_parts(df.sparkSession, path)
+    if parts is not None:
+        prefix = prefix or snapshots.new_prefix()
+    writer = counted.write.mode(mode if parts is None else "append").option("partitionOverwriteMode", "dynamic")
     if prefix:
         writer = writer.option("mapreduce.output.basename", prefix)
     writer.partitionBy(*partition_by).parquet(path)
-    return metrics.get
-
-
-def finish_swap(spark: SparkSession, path: str, schema: T.StructType, partition: str, sort_by: list[str] | None = None) -> None:
-    """Complete a swap that an earlier run left behind: its rows are ready beside the table."""
-    ready = f"{path}_merge"
-    if files.exists(spark, f"{ready}/_SUCCESS"):
-        fresh = spark.read.schema(schema).option("basePath", ready).parquet(ready)
-        write_partitions(fresh.select(*schema.fieldNames()), path, [partition], sort_by)
-    if files.exists(spark, ready):
-        files.delete(spark, ready)
+    told = {"rows": 0, "values": []} | told_by(metrics)
+    if parts is not None:
+        snapshots.publish(df.sparkSession, path, snapshots.changed(parts, told["values"], prefix, mode == "overwrite"))
+    return told
 
 
 def swap_partitions(
@@ -81,16 +114,14 @@ def swap_partitions(
 ) -> None:
     """Replace the partitions that ``rows`` hold, where ``rows`` may read the table itself.
 
-    All new rows are written beside the table before any folder of it is touched. A driver
-    that is lost before that leaves the table as it was; one that is lost while folders are
-    swapped leaves the new rows, and the next run's ``finish_swap`` completes them. One
-    writer at a time is assumed.
+    The new files are written once, beside the old ones, and become the next version. A driver
+    that is lost before that leaves the table as it was. Old versions go some swaps later.
     """
-    laid_out = rows.select(*schema.fieldNames()).hint("rebalance", F.col(partition))
-    # not in dynamic mode: the mark of a complete write must lie in the folder itself
-    plain = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    plain.partitionBy(partition).parquet(f"{path}_merge")
-    finish_swap(spark, path, schema, partition, sort_by)
+    snapshots.taken_over(spark, path, partition)
+    if snapshots.live_parts(spark, path) is None:
+        snapshots.publish(spark, path, {})
+    write_told(rows.select(*schema.fieldNames()), path, [partition], sort_by, "overwrite")
+    snapshots.vacuum(spark, path, partition)
 
 
 def upsert(
@@ -110,12 +141,11 @@ def upsert(
     """
     metrics = Observation()
     source = source.observe(metrics, F.count(F.lit(1)).alias("rows"))
-    finish_swap(spark, path, schema, partition, sort_by)
     target = read_table(spark, path, schema)
     if since is not None:
         target = target.where(F.col(partition) >= F.lit(since).cast(schema[partition].dataType))
     swap_partitions(spark, upserted(target, source, key), path, schema, partition, sort_by)
-    return metrics.get["rows"]
+    return told_by(metrics).get("rows", 0)
 
 
 def stage(spark: SparkSession, df: DataFrame, partition_by: list[str]) -> tuple[str, int]:
@@ -138,9 +168,8 @@ def replace_from(
     The partitions ``fresh`` holds are swapped in one job; the others from ``start`` on
     are removed afterwards, so running it again repairs an interrupted run.
     """
-    listed = files.partition_values(spark, path, partition)
+    listed = partition_values(spark, path, partition)
     before = {v for v in listed if v >= start and (end is None or v <= end) and v != NULL_FOLDER}
     written = write_told(fresh, path, [partition], sort_by, "overwrite")
-    for value in before - set(written["values"]):
-        files.delete(spark, f"{path}/{partition}={value}")
+    drop_partitions(spark, path, partition, before - set(written["values"]))
     return written["rows"]

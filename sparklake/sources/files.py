@@ -38,6 +38,32 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path} is not written")
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    fs, target = _file_system(spark, path)
+    reader = spark.sparkContext._jvm.java.io.BufferedReader(
+        spark.sparkContext._jvm.java.io.InputStreamReader(fs.open(target), "UTF-8")
+    )
+    try:
+        return "\n".join(iter(reader.readLine, None))
+    finally:
+        reader.close()
+
+
+def partition_key(spark: SparkSession, table: str) -> str:
+    """The column that the folders of a table are named by."""
+    fs, path = _file_system(spark, table)
+    names = (s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+    return next(n.split("=")[0] for n in names if "=" in n)
+
+
+def partition_files(spark: SparkSession, table: str, key: str) -> list[tuple[str, str]]:
+    """(value, name) of the files in the ``key=value`` folders of a table."""
+    fs, pattern = _file_system(spark, f"{table}/{key}=*/*")
+    found = [status.getPath() for status in fs.globStatus(pattern) or []]
+    return [(p.getParent().getName()[len(key) + 1 :], p.getName()) for p in found if p.getName()[0] not in "._"]
+
+
 def delete_matching(spark: SparkSession, table: str, pattern: str, depth: int = 1) -> int:
     """Remove a partitioned table's files whose names match; returns how many there were."""
     fs, path = _file_system(spark, f"{table}{'/*' * depth}/{pattern}")

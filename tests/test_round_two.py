@@ -11,7 +11,7 @@ from sparklake.functions.scalars import to_int_truncated
 from sparklake.plans import bronze, gold, silver
 from sparklake.schemas import GOLD_SCHEMA, LOAN_COLUMNS, REQUESTED_PERIOD, SILVER_SCHEMA
 from sparklake.session import shared_dir
-from sparklake.sinks import audit, ledger, tables
+from sparklake.sinks import audit, ledger, snapshots, tables
 from sparklake.sinks.tables import read_table, write_partitions
 from sparklake.sources import files, landing, payloads
 from sparklake.streaming.landing import start_silver_stream
@@ -96,28 +96,30 @@ def test_upsert_survives_a_lost_driver(spark, tmp_path, monkeypatch, lost):
     path = str(tmp_path / "silver")
     silver.store(spark, silver_frame(spark, [loan(deuda=1.0), loan(entidad="E2", deuda=5.0)]), path, "upsert")
     later = silver_frame(spark, [loan(deuda=2.0, dt_captura=D(2024, 5, 1))])
-    real_write = tables.write_partitions
+    before = read_table(spark, path, SILVER_SCHEMA).collect()
+    real_write, real_publish = tables.write_told, snapshots.publish
 
-    def lost_driver(df, target, *rest, **named):
+    def lost_before(df, target, *rest, **named):
         if target != path:
             return real_write(df, target, *rest, **named)
-        for value in files.partition_values(spark, path, "periodo_ym"):  # folders are gone, no new one is there yet
-            files.delete(spark, f"{path}/periodo_ym={value}")
         raise RuntimeError("driver lost")
 
+    def lost_between(session, table, parts):  # the files are there, no version names them
+        if any(len(files.data_files(session, f"{path}/periodo_ym={v}")) > 1 for v in parts):
+            raise RuntimeError("driver lost")
+        return real_publish(session, table, parts)
+
     if lost == "before":
-        real = tables.finish_swap
-        calls = []
-        monkeypatch.setattr(tables, "finish_swap", lambda *a: calls.append(1) or (_ for _ in ()).throw(RuntimeError("driver lost")) if not calls else real(*a))
+        monkeypatch.setattr(tables, "write_told", lost_before)
     else:
-        monkeypatch.setattr(tables, "write_partitions", lost_driver)
+        monkeypatch.setattr(snapshots, "publish", lost_between)
     with pytest.raises(RuntimeError):
         silver.store(spark, later, path, "upsert")
     monkeypatch.undo()
+    assert sorted(read_table(spark, path, SILVER_SCHEMA).collect()) == sorted(before)
     silver.store(spark, later, path, "upsert")
     rows = read_table(spark, path, SILVER_SCHEMA).collect()
     assert {(r.entidad, r.deuda) for r in rows} == {("E1", 2.0), ("E2", 5.0)}
-    assert not files.exists(spark, f"{path}_merge")
 
 
 def test_gold_range_drops_what_vanished(spark, lake):
