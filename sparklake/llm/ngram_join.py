@@ -16,13 +16,16 @@ after components are known, only classes that share an n-gram but lie in differe
 already known to be connected, so components are those of all links.
 
 The sketch has a fixed size, whatever the corpus; any consistent order gives right results, and
-what it tells apart are the n-grams so frequent that meeting on them would be slow.
+what it tells apart are the n-grams so frequent that meeting on them would be slow. Sets are cut
+twice for their prefixes: first the n-grams alone are counted, then postings are made of those
+that more than one prefix holds, told by a filter that is sized by their number.
 
 Cases: a null or empty text, or one without words, has an empty set and is linked with nothing; a
-text with fewer than n words has its whole sequence as its only n-gram; rows with the same id
-count as one document; ties go to the smallest id; columns beside id and text are left out here
+text with fewer than n words has its whole sequence as its only n-gram; each row has the set of
+its own text, so rows with the same id and text are one document, and an id with two texts has
+a row for each; ties go to the smallest id; columns beside id and text are left out here
 and pass through ``representatives`` whatever their names are; an empty table gives an empty one.
-A null id has no set and no component here, as in the SQL; for ``representatives`` each row without
+A null id has a set, and no component; for ``representatives`` each row without
 an id is a document of its own, which links as others do and stays unless another one stands for it.
 """
 
@@ -38,15 +41,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparklake.llm import bits
 from sparklake.llm.arrays import NOT_SPACE, Words, mapped, ngrams, slices, stored
 from sparklake.llm.components import components
 
 SKETCH_BITS = 20
-FILTER_BITS = 26  # of the filters over wanted ids and n-grams
 BROADCAST_ROWS = 1_000_000  # rows of one or two ids that may be broadcast, 16 MB at most
 CHUNKS = 64
 PAIRS_AT_ONCE = 1_000_000  # pairs of rows that a task holds in memory
-BLOCK = 512  # members of an n-gram's bucket that are compared with each other in one piece
+BLOCK = 4096  # members of an n-gram's bucket that are compared with each other in one piece
 
 
 def sets_of(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -124,7 +127,12 @@ def needed(size, num: int, den: int):
     return -(-num * size // den)
 
 
-def _postings(n: int, num: int, den: int, sketch):
+def _postings(n: int, num: int, den: int, sketch, shared=None):
+    """The prefix n-grams of each set; with the filter ``shared``, those that it may hold alone.
+
+    Without it only the n-grams are given.
+    """
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shift = sketch.value, np.uint64(64 - SKETCH_BITS)
         for batch in slices(batches, "text"):
@@ -135,54 +143,38 @@ def _postings(n: int, num: int, den: int, sketch):
             for own, p in zip(sets, length.tolist(), strict=True):
                 order = np.argsort(counts[(own >> shift).astype(np.int64)], kind="stable")
                 token.append(own[order[:p]])
+            token = np.concatenate(token).view(np.int64)
+            if shared is None:
+                yield pa.RecordBatch.from_arrays([pa.array(token)], ["token"])
+                continue
             classes = np.array([_class(x)[0] for x in sets], np.int64)
             at = np.repeat(np.arange(len(sets)), length)
             pos = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-            columns = [np.concatenate(token).view(np.int64), classes[at], size[at], pos]
+            keep = bits.probe(shared.value, token)
+            columns = [x[keep] for x in (token, classes[at], size[at], pos)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["token", "c1", "n", "pos"])
 
     return work
 
 
-def _bits(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    bits = np.zeros((1 << FILTER_BITS) // CHUNKS, bool)
-    bits[rows["bit"].to_numpy() % len(bits)] = True
-    return pd.DataFrame({"chunk": [key[0]], "bits": [np.packbits(bits).tobytes()]})
-
-
-def bit_filter(bits: DataFrame) -> np.ndarray:
-    """The values of ``bit`` as a packed array of a fixed size, whatever their number."""
-    size = (1 << FILTER_BITS) // CHUNKS
-    chunk = F.floor(F.col("bit") / size).cast("int").alias("chunk")
-    parts = bits.distinct().select("bit", chunk).groupBy("chunk").applyInPandas(_bits, "chunk int, bits binary")
-    made = np.zeros((CHUNKS, size // 8), np.uint8)
-    for row in parts.collect():  # at most CHUNKS rows of a fixed size
-        made[row[0]] = np.frombuffer(row[1], np.uint8)
-    return made.ravel()
-
-
-def _hit(packed: np.ndarray, bit: np.ndarray) -> np.ndarray:
-    return (packed[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
-
-
 def _perhaps(wanted):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_hit(wanted.value, batch.column("bit").to_numpy(zero_copy_only=False))))
+            yield batch.filter(pa.array(bits.probe(wanted.value, batch.column("key").to_numpy(zero_copy_only=False))))
 
     return work
 
 
-def filtered(df: DataFrame, bits: DataFrame) -> DataFrame:
-    """Rows whose ``bit`` is among ``bits``: most others go before a shuffle, an exact join follows."""
-    held = df.sparkSession.sparkContext.broadcast(bit_filter(bits))
-    return mapped(df, _perhaps(held), df.schema)
+def _filter(keys: DataFrame, key: str):
+    """A filter over stored keys, sent to the tasks; its size follows their number up to a bound."""
+    return keys.sparkSession.sparkContext.broadcast(bits.build(keys, key, bits.size_for(keys.count())))
 
 
-def _set_rows(n: int):
+def _set_rows(n: int, narrow: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            sets = [x.tobytes() for x in sets_of(part.column("text"), n)]
+            sets = sets_of(part.column("text"), n)
+            sets = [((x >> np.uint64(32)).astype(np.uint32) if narrow else x).tobytes() for x in sets]
             yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["id", "grams"])
 
     return work
@@ -193,51 +185,70 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def grams_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """(id, grams) of the documents with these ids.
+def grams_of(docs: DataFrame, ids: DataFrame, n: int, narrow: bool) -> DataFrame:
+    """(id, grams) of the documents with these ids; ``narrow`` gives the upper halves of the hashes.
 
-    A filter of a fixed size over the ids keeps most other texts from being cut and shuffled;
-    an exact join follows.
+    A filter over the ids keeps most other texts from being cut and shuffled; an exact join
+    follows. ``ids`` must be stored.
     """
-    bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).alias("bit")
-    likely = filtered(docs.where("id is not null").select("id", "text", bit), ids.select(bit))
-    found = mapped(likely, _set_rows(n), "id bigint, grams binary")
+    key = F.xxhash64("id").alias("key")
+    rows = docs.where("id is not null").select("id", "text", key)
+    likely = mapped(rows, _perhaps(_filter(ids.select(key), "key")), rows.schema)
+    found = mapped(likely, _set_rows(n, narrow), "id bigint, grams binary")
     sets = stored(found.join(_small(ids), "id", "left_semi"), "ngram-grams")
     # ids of several rows are rare, and finding them is cheaper than moving all sets
     again = sets.groupBy("id").count().where("count > 1")
     return sets if again.isEmpty() else stored(sets.distinct(), "ngram-grams")
 
 
-def _verified(num: int, den: int):
+def _compared(num: int, den: int, narrow: bool):
+    """Pairs that may link, and whether it is sure that they do.
+
+    Halves of hashes match by chance about ``size * size / 2^32`` times a pair, and such matches
+    only add: what fails by halves fails. What passes with many times that to spare is sure.
+    """
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = np.uint32 if narrow else np.uint64
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            keep, sure = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
-                one, two = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                one, two = np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind)
                 if len(one) > len(two):
                     one, two = two, one
                 at = np.searchsorted(two, one)
                 shared = int((two[np.minimum(at, len(two) - 1)] == one).sum())
-                keep[i] = den * shared >= num * (len(one) + len(two) - shared)
-            made = batch.select(["a", "b"]).filter(pa.array(keep))
-            yield made
+                spare = 8 + 8 * (len(one) * len(two) >> 32) if narrow else 0
+                keep[i], sure[i] = (den * k >= num * (len(one) + len(two) - k) for k in (shared, shared - spare))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).filter(pa.array(keep)) for c in ("a", "b")] + [pa.array(sure[keep])], ["a", "b", "sure"]
+            )
 
     return work
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) of ids whose sets reach the threshold.
-
-    ``pairs`` must be stored. Each pair moves the set of ``b`` to that of ``a`` once, so a hub
-    that is ``a`` of many pairs moves once itself.
-    """
+def _set_pairs(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int, narrow: bool) -> DataFrame:
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = grams_of(docs, stored(ids, "ngram-ids"), n)
+    sets = grams_of(docs, stored(ids, "ngram-ids"), n, narrow)
     hubs = stored(pairs.select(F.col("a").alias("id")).distinct(), "ngram-ids")
     one = sets.join(_small(hubs), "id", "left_semi").select(F.col("id").alias("a"), F.col("grams").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("grams").alias("y")).join(_small(pairs), "b")
     rows = two.join(one, "a").select("a", "b", "x", "y")
-    return stored(mapped(rows, _verified(num, den), "a bigint, b bigint"), "ngram-links")
+    return stored(mapped(rows, _compared(num, den, narrow), "a bigint, b bigint, sure boolean"), "ngram-links")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of ids whose sets reach the threshold.
+
+    ``pairs`` must be stored. Each pair moves the set of ``b`` to that of ``a`` once, so a hub
+    that is ``a`` of many pairs moves once itself. Halves of the hashes decide nearly all pairs;
+    whole ones move for those near the threshold alone.
+    """
+    first = _set_pairs(pairs, docs, n, num, den, True)
+    links, open_ = first.where("sure").select("a", "b"), first.where("NOT sure").select("a", "b")
+    if open_.isEmpty():
+        return links
+    return links.union(_set_pairs(stored(open_, "ngram-pairs"), docs, n, num, den, False).select("a", "b"))
 
 
 def _may_link(num: int, den: int, x: str, y: str) -> Column:
@@ -323,15 +334,17 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     info, sketch = described(rows, n)
     held = spark.sparkContext.broadcast(sketch)
     schema = "token bigint, c1 bigint, n bigint, pos bigint"
-    postings = stored(mapped(rows.where("id is not null").select("text"), _postings(n, num, den, held), schema), "ngram-postings")
+    whole = rows.where("id is not null").select("text")
+    # most n-grams stand in one prefix alone: only their hashes are shuffled, the rest of a posting never is
+    tokens = mapped(whole, _postings(n, num, den, held), "token bigint")
+    again = stored(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"), "ngram-again")
+    postings = stored(mapped(whole, _postings(n, num, den, held, _filter(again, "token")), schema).distinct(), "ngram-postings")
 
     # n-grams that more than one class has in its prefix, and each one's hub
     near = F.shiftleft(F.least("pos", F.lit(2047)), 52).bitwiseOR(F.col("c1").bitwiseAND((1 << 52) - 1))
     buckets = postings.groupBy("token").agg(F.min(near).alias("hub"), F.max(near).alias("far")).where("hub <> far")
     buckets = stored(buckets.select("token", "hub"), "ngram-buckets")
-    bit = F.shiftrightunsigned("token", 8).bitwiseAND((1 << FILTER_BITS) - 1).alias("bit")
-    likely = filtered(postings.select("*", bit), buckets.select(bit)).drop("bit")
-    shared = likely.join(buckets, "token").withColumn("near", near).distinct()
+    shared = postings.join(buckets, "token").withColumn("near", near)
     reps = info.where("n > 0 and id is not null").groupBy("c1", "c2").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.min("sig").alias("sig"))
     reps = stored(reps, "ngram-classes")
     # by half of a class's hash and its size: a chance match only adds a candidate
@@ -372,7 +385,7 @@ def link_components(docs: DataFrame, n: int, num: int, den: int, text: str = "te
     classes = reps.select("c1", "c2", "id").join(final, "id", "left").select("c1", "c2", F.coalesce("component", "id").alias("component"))
     return info.join(classes, ["c1", "c2"], "left").select(
         F.col("id").alias("doc_id"),
-        F.when(F.col("id").isNull(), 0).otherwise(F.col("n")).alias("n_shingles"),
+        F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
     )
 
@@ -394,6 +407,12 @@ def _numbered(docs: DataFrame, known: Column) -> tuple[DataFrame, int, int]:
     return lone.select((F.lit(start).cast("bigint") + place * F.lit(parts) + part).alias("id"), "row"), start, start + size
 
 
+def _semi(docs: DataFrame, known: Column, stay: DataFrame) -> DataFrame:
+    """The rows whose id is among ``stay``, as they are, whatever their columns' names."""
+    rows = docs.select(known.alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(stay, "id", "left_semi").select("row.*")
+
+
 def representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One document of each component, the one with the least id, with all columns.
 
@@ -402,16 +421,15 @@ def representatives(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     known = F.col(f"`{doc_id}`").cast("bigint")
     if docs.where(known.isNull()).isEmpty():
         of = link_components(docs, n, num, den, text, doc_id)
-        stay = of.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-        return docs.join(stay, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept")), "left_semi")
+        stay = of.where("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+        return _semi(docs, known, stay)
     lone, start, end = _numbered(docs, known)
     both = docs.where(known.isNotNull()).select(known.alias("id"), F.col(f"`{text}`").alias("text"))
     both = both.union(lone.select("id", F.col(f"row.`{text}`")))
     of = link_components(both, n, num, den, "text", "id")
     own = F.struct(F.col("doc_id").between(start, end - 1), "doc_id")
-    stay = of.groupBy("component_id").agg(F.min(own)["doc_id"].alias("_kept")).select("_kept")
-    named = docs.join(stay, known == F.col("_kept"), "left_semi")
-    return named.union(lone.join(stay, F.col("id") == F.col("_kept"), "left_semi").select("row.*"))
+    stay = of.groupBy("component_id").agg(F.min(own)["doc_id"].alias("id")).select("id")
+    return _semi(docs, known, stay).union(lone.join(stay, "id", "left_semi").select("row.*"))
 
 
 def op2(docs: DataFrame) -> DataFrame:

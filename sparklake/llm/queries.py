@@ -42,22 +42,22 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 ORACLES = {
     "op2_ngram_join": rf"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+  SELECT row_number() OVER () AS i, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (
-  SELECT DISTINCT doc_id, g FROM (
-    SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS g
-    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0))),
-n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+  SELECT DISTINCT i, doc_id, g FROM (
+    SELECT i, doc_id, array_to_string(w[j:j + 2], ' ') AS g
+    FROM (SELECT i, doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS j FROM w WHERE len(w) > 0))),
+n AS (SELECT i, count(*) AS n FROM g GROUP BY i),
 p AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
-  FROM g AS x JOIN g AS y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+  SELECT x.i AS a, y.i AS b, count(*) AS o
+  FROM g AS x JOIN g AS y ON x.g = y.g AND x.i <> y.i AND x.doc_id IS NOT NULL AND y.doc_id IS NOT NULL GROUP BY ALL),
 e AS (
-  SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+  SELECT a, b FROM p JOIN n AS x ON x.i = a JOIN n AS y ON y.i = b
   WHERE 100 * o >= 90 * (x.n + y.n - o)),
-r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
-c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
-SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(c, w.doc_id) AS component_id
-FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = w.doc_id
+r AS (SELECT i AS a, i AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a, min(doc_id) AS c FROM r JOIN w ON w.i = b GROUP BY a)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, CASE WHEN w.doc_id IS NOT NULL THEN coalesce(c, w.doc_id) END AS component_id
+FROM w LEFT JOIN n USING (i) LEFT JOIN c ON c.a = w.i
 """,
     "op3_quality_rules": quality.ORACLE,
     "op7_line_dedup": rf"""

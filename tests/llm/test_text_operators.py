@@ -156,7 +156,31 @@ def test_null_ids_have_no_component(spark, rows):
     some = [r for r in rows if r[0] < 250]
     got = ngram_join.link_components(cases.documents(spark, [*some, *null_id_rows(rows)]), 3, 90, 100).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == linked(some, 3, 90, 100)
-    assert [tuple(r) for r in got if r.doc_id is None] == [(None, 0, None)] * len(null_id_rows(rows))
+    # a set all the same, of each text's own
+    own = linked([(i, t) for i, (_, t) in enumerate(null_id_rows(rows))], 3, 90, 100)
+    assert sorted(r.n_shingles for r in got if r.doc_id is None) == sorted(n for n, _ in own.values())
+    assert {r.component_id for r in got if r.doc_id is None} == {None}
+
+
+def test_pairs_near_the_threshold_are_compared_whole(spark):
+    """Halves of hashes leave those open that pass with little to spare."""
+    words = [f"w{i}" for i in range(202)]  # 200 shingles
+    texts = {i: " ".join([*words[: 202 - i], *(f"x{i}y{k}" for k in range(i))]) for i in range(14)}
+    rows = list(texts.items())
+    got = ngram_join.link_components(cases.documents(spark, rows), 3, 90, 100).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == linked(rows, 3, 90, 100)
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 14)], "a bigint, b bigint")
+    docs = spark.createDataFrame(rows, "id bigint, text string")
+    halves = {r.b: r.sure for r in ngram_join._set_pairs(pairs, docs, 3, 90, 100, True).collect()}
+    want = {i for i in range(1, 14) if 100 * (200 - i) >= 90 * (200 + i)}
+    assert {r.b for r in ngram_join.verified(pairs, docs, 3, 90, 100).collect()} == want <= set(halves)
+    assert halves[1] and not halves[max(want)]
+
+
+def test_an_id_with_two_texts(spark):
+    rows = [(1, cases.prose(50, 1)), (1, cases.prose(50, 2)), (2, cases.prose(50, 2)), (3, cases.prose(60, 3))]
+    got = ngram_join.op2(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 48, 1), (1, 48, 1), (2, 48, 1), (3, 58, 3)]
 
 
 def test_ngram_join_splits_large_buckets(spark, monkeypatch):
