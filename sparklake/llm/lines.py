@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.arrays import mapped, prepare, slices, stored
+from sparklake.llm.arrays import mapped, prepare, slices, stored, with_row
 
 SPACE = " \t\n\x0b\x0c\r"
 KEYS_PER_SHARD = 200_000
@@ -128,9 +128,16 @@ def _document_keys(least: int):
     return work
 
 
-def document_counts(docs: DataFrame, text: str = "text", least: int = 1) -> DataFrame:
-    """(digest, docs): in how many of these documents each line key stands."""
-    keys = mapped(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")), _document_keys(least), "digest binary")
+def document_counts(docs: DataFrame, text: str = "text", least: int = 1, copies: bool = True) -> DataFrame:
+    """(digest, docs): in how many of these documents each line key stands.
+
+    Without ``copies``, documents of equal text count as one.
+    """
+    whole = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    if copies:
+        keys = mapped(whole, _document_keys(least), "digest binary")
+    else:
+        keys = mapped(whole, _text_keys(least), "of binary, digest binary").distinct()
     return keys.groupBy("digest").agg(F.count("*").alias("docs"))
 
 
@@ -139,9 +146,11 @@ def _shard(n: int | Column) -> Column:
     return F.pmod(F.conv(F.hex(F.substring("digest", 13, 4)), 16, 10).cast("bigint"), F.lit(n)).cast("int")
 
 
-def insert(counts: DataFrame | None, docs: DataFrame, sign: int = 1, text: str = "text", least: int = 1) -> DataFrame:
+def insert(
+    counts: DataFrame | None, docs: DataFrame, sign: int = 1, text: str = "text", least: int = 1, copies: bool = True
+) -> DataFrame:
     """The reference counts with the documents added (or, with -1, taken off); zeros go."""
-    change = document_counts(docs, text, least).select("digest", (F.col("docs") * sign).alias("docs"))
+    change = document_counts(docs, text, least, copies).select("digest", (F.col("docs") * sign).alias("docs"))
     if counts is None:
         return change
     return counts.select("digest", "docs").union(change).groupBy("digest").agg(F.sum("docs").alias("docs")).where("docs <> 0")
@@ -295,24 +304,26 @@ def clean(
     spark = prepare(docs.sparkSession)
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("_none")]
     df = docs.select(F.struct(*rest).alias("row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    row = df.schema["row"].dataType.simpleString()
     shards = shards_for(counts)
     made = stored(filters(counts, threshold, shards), "line-filters")
     size = made.agg(F.sum(F.octet_length("filter") + F.octet_length("doubts"))).first()[0] or 0
     if size <= filter_bytes:
         frequent = spark.sparkContext.broadcast(Frequent(made.collect(), shards))
-        return mapped(df, _probe(frequent, least), f"row {row}, {_KEPT}")
+        return mapped(df, _probe(frequent, least), with_row(df, _KEPT))
     # too many for that: the exact table decides, line by line, once for each distinct text
     held = mapped(df.select("text"), _text_keys(least), "of binary, digest binary").distinct()
     hits = held.join(counts.where(F.col("docs") >= threshold).select("digest"), "digest")
     hits = hits.groupBy("of").agg(F.collect_list("digest").alias("frequent"))
-    rows = mapped(df, _text_digest, f"row {row}, text string, of binary").join(hits, "of", "left")
-    return mapped(rows.select("row", "text", "frequent"), _drop(least), f"row {row}, {_KEPT}")
+    rows = mapped(df, _text_digest, with_row(df, "text string, of binary")).join(hits, "of", "left")
+    return mapped(rows.select("row", "text", "frequent"), _drop(least), with_row(df, _KEPT))
 
 
-def dedup(docs: DataFrame, threshold: int = 10, text: str = "text", least: int = 1) -> DataFrame:
-    """All columns, with the text's frequent lines dropped."""
-    counts = stored(insert(None, docs, text=text, least=least), "line-counts")
+def dedup(docs: DataFrame, threshold: int = 10, text: str = "text", least: int = 1, copies: bool = True) -> DataFrame:
+    """All columns, with the text's frequent lines dropped.
+
+    Without ``copies``, a line that only copies of one text hold is not frequent, and stays.
+    """
+    counts = stored(insert(None, docs, text=text, least=least, copies=copies), "line-counts")
     kept = clean(docs, counts, threshold, text, least)
     return kept.select(*[F.col("kept.text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
