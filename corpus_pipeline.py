@@ -1,7 +1,7 @@
 """A corpus pipeline in stages; each stage's rows are written and read again for the next.
 
 1. ``toxicity`` removes documents that score as toxic, 2. ``line_dedup`` drops lines that at least
-ten documents hold, 3. ``near_duplicates`` keeps one document, the one with the least id, of each
+ten different texts hold (copies of a text count once, as the next stage leaves one of them), 3. ``near_duplicates`` keeps one document, the one with the least id, of each
 component of texts whose five-word shingles reach a Jaccard similarity of 0.8, 4.
 ``decontamination`` removes documents that share too much with the benchmark, and 5. ``encode``
 returns the token ids of what is left, checked by decoding them.
@@ -37,7 +37,7 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(lines.dedup(docs, threshold=10))
+    return _measured(lines.dedup(docs, threshold=10, copies=False))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
