@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 from sparklake.llm.arrays import mapped, slices, with_row
 
-MEMORY = 500_000  # pieces a task remembers before it starts afresh
-SLICE_BYTES = 16 << 20  # text over which the merges are replayed at once
-IDS_AT_ONCE = 1 << 20  # ids of a batch that is decoded, or one row
+MEMORY = 300_000  # pieces a task remembers before it starts afresh
+SLICE_BYTES = 4 << 20  # text over which the merges are replayed at once
+IDS_AT_ONCE = 1 << 17  # ids of a batch that is decoded, or one row
 AT_ONCE = 1 << 19  # places that enter the index in one step
 
 
