@@ -112,12 +112,6 @@ def data_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(p.toString() for p in found if p.getName()[0] not in "._")
 
 
-def rename(spark: SparkSession, path: str, name: str) -> None:
-    """Give a file another name in its folder."""
-    fs, hadoop_path = _file_system(spark, path)
-    fs.rename(hadoop_path, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hadoop_path.getParent(), name))
-
-
 def first_line(spark: SparkSession, path: str) -> str:
     """The first line of a file, its bytes read one to one as characters."""
     jvm = spark.sparkContext._jvm

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sparklake.functions.encoding import utf8_or_latin1, utf8_or_latin1_name
 from sparklake.sources import files
+from sparklake.sources.headers import by_header
 
 SOURCE_FILE = "archivo_origen"
 CAPTURE_DATE = "dt_captura"
@@ -87,14 +88,9 @@ def read_files(spark: SparkSession, paths: list[str], encoding: str = "auto") ->
     """Rows of landing files, whose columns and encodings may differ, with their capture date.
 
     Files with the same header line are scanned together and the scans are stacked by the
-    names of their columns. Only the first line of each file is read for that, without a job.
+    names of their columns. One job on the executors reads the first lines.
     """
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(pool.map(lambda p: files.first_line(spark, p), paths))
-    by_header: dict[str, list[str]] = {}
-    for path, header in zip(paths, headers, strict=True):
-        by_header.setdefault(header, []).append(path)
-    raw = concat_pieces([read_text_csv(spark, same, encoding) for same in by_header.values()])
+    raw = concat_pieces([read_text_csv(spark, same, encoding) for same in by_header(spark, paths)])
     return raw.withColumn(CAPTURE_DATE, path_date(F.col(SOURCE_FILE)))
 
 

@@ -50,6 +50,26 @@ def loan_rows(
     )
 
 
+def loan_variants(df: DataFrame, body: str = "body", periodo: str = "periodo_solicitado") -> DataFrame:
+    """Rows of a loan response as VARIANT: one parse keeps every field, whatever its name or depth.
+
+    The response is a list of rows, or an object holding the list as ``Data``. Elements that are
+    no objects, and responses that are malformed or empty, give no rows. No pass for names is
+    needed: ``variant_columns`` takes fields out, and the rest stays in ``fila``.
+    """
+    whole = df.select(F.col(periodo).alias(REQUESTED_PERIOD), F.try_parse_json(F.col(body)).alias("_v"))
+    listed, wrapped = "_v", "try_variant_get(_v, '$.Data', 'variant')"
+    rows = F.coalesce(*[F.expr(f"try_cast({v} AS ARRAY<VARIANT>)") for v in (listed, wrapped)])
+    each = whole.select(F.explode(rows).alias("fila"), REQUESTED_PERIOD)
+    return each.where(F.schema_of_variant("fila").startswith("OBJECT"))
+
+
+def variant_columns(rows: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Columns by name: ``(path, type)`` in the row's VARIANT; NULL where it is missing or does not fit."""
+    taken = [F.try_variant_get("fila", path, kind).alias(name) for name, (path, kind) in fields.items()]
+    return rows.select(*taken, *rows.columns)
+
+
 def _series_pairs(df: DataFrame, body: str) -> DataFrame:
     """The ``C`` arrays below the first key that starts with DM, one row each.
 
