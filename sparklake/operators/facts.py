@@ -74,7 +74,11 @@ def gold_rows(
     scales: dict[str, int] | None = None,
 ) -> DataFrame:
     """The 25 gold columns: facts, ratios and the month's macro values (0 where missing)."""
-    facts = silver.transform(usable_rows, since).transform(monthly_facts, scales)
+    return enriched(silver.transform(usable_rows, since).transform(monthly_facts, scales), inflation, exchange)
+
+
+def enriched(facts: DataFrame, inflation: DataFrame, exchange: DataFrame) -> DataFrame:
+    """Gold's columns, from monthly facts however they were counted."""
     return attach_macro(facts.transform(with_ratios), inflation, exchange).select(*GOLD_COLUMNS)
 
 

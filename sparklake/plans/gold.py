@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklake.operators.alerts import alert_rows
-from sparklake.operators.facts import gold_rows
+from sparklake.operators.facts import enriched, gold_rows
 from sparklake.operators.macro import monthly_mean, monthly_rates
+from sparklake.operators.partials import facts_of_state
+from sparklake.operators.risk import dashboard_alerts
+from sparklake.plans.fact_state import refresh_state, state_table
 from sparklake.plans.layout import Lake
 from sparklake.schemas import (
     ALERT_SCHEMA,
+    DASHBOARD_SCHEMA,
     FIRST_PERIOD,
     GOLD_KEY,
     GOLD_SCHEMA,
@@ -62,19 +66,24 @@ def gold_frame(
     end: dt.date | None = None,
     scales: dict[str, int] | None = None,
     macro_scale: int | None = None,
+    from_state: bool = False,
 ) -> DataFrame:
     """Gold rows of the months from ``start`` (to ``end``), pruned to silver's folders.
 
+    ``from_state`` merges the state of the facts instead of reading those months of silver.
     ``scales`` and ``macro_scale`` name the decimals of the inputs, see ``stable_sum``.
     """
-    silver = read_table(spark, lake.silver, SILVER_SCHEMA)
-    silver = silver.where(F.col("periodo_ym") >= start.year * 100 + start.month)
+    source = state_table(spark, lake) if from_state else read_table(spark, lake.silver, SILVER_SCHEMA)
+    source = source.where(F.col("periodo_ym") >= start.year * 100 + start.month)
     if end is not None:
-        silver = silver.where(F.col("periodo_ym") <= end.year * 100 + end.month)
+        source = source.where(F.col("periodo_ym") <= end.year * 100 + end.month)
     macro_since = months_back(start, 1).isoformat()
     inflation = monthly_mean(macro_table(spark, lake, "inflacion_12m"), since=macro_since, scale=macro_scale)
     exchange = monthly_rates(macro_table(spark, lake, "tipo_cambio"), since=macro_since, scale=macro_scale)
-    return gold_rows(silver, inflation, exchange, start.isoformat(), scales)
+    if from_state:
+        recent = source.where(F.col("periodo_date") >= F.lit(start))
+        return enriched(facts_of_state(recent, scales), inflation, exchange)
+    return gold_rows(source, inflation, exchange, start.isoformat(), scales)
 
 
 def refresh_alerts(spark: SparkSession, lake: Lake, start: dt.date, warm_up: bool = True) -> int:
@@ -86,6 +95,13 @@ def refresh_alerts(spark: SparkSession, lake: Lake, start: dt.date, warm_up: boo
     return replace_from(spark, keyed, lake.alerts, ALERT_PARTITION, first, ["provincia"])
 
 
+def refresh_dashboard(spark: SparkSession, lake: Lake, start: dt.date) -> int:
+    """Recompute the dashboard rows of all months from ``start`` on and drop vanished months."""
+    rows = dashboard_alerts(read_table(spark, lake.gold, GOLD_SCHEMA)).where(F.col("periodo_date") >= F.lit(start))
+    rows = rows.select(*DASHBOARD_SCHEMA.fieldNames())
+    return replace_from(spark, rows, lake.dashboard, PARTITION, start.isoformat(), ["PROVINCIA"])
+
+
 @audit.job
 def load_gold(
     spark: SparkSession,
@@ -95,17 +111,21 @@ def load_gold(
     delete_missing: bool = False,
     scales: dict[str, int] | None = None,
     macro_scale: int | None = None,
+    from_state: bool = False,
 ) -> int:
-    """Upsert the recent months into gold, then refresh their alerts.
+    """Upsert the recent months into gold, then refresh their alerts and dashboard rows.
 
     ``start`` and ``end`` override the look-back. A province that vanished from silver
-    stays in gold unless ``delete_missing`` replaces the months as a whole.
+    stays in gold unless ``delete_missing`` replaces the months as a whole. ``from_state``
+    counts silver's new loads alone and merges them with what was counted before.
     """
     name, began = "silver_to_gold", audit.utc_now()
     audit.log_event(spark, lake.log, name, audit.STARTED, "inicio", began)
     try:
         since = start or first_month(spark, lake.gold)
-        rows = gold_frame(spark, lake, since, end, scales, macro_scale)
+        if from_state:
+            refresh_state(spark, lake)
+        rows = gold_frame(spark, lake, since, end, scales, macro_scale, from_state)
         if delete_missing:
             last = end.isoformat() if end else None
             count = replace_from(spark, rows, lake.gold, PARTITION, since.isoformat(), ["PROVINCIA"], last)
@@ -114,6 +134,7 @@ def load_gold(
                 spark, rows, lake.gold, GOLD_SCHEMA, GOLD_KEY, PARTITION, since.isoformat(), ["PROVINCIA"]
             )
         refresh_alerts(spark, lake, since)
+        refresh_dashboard(spark, lake, since)
     except Exception as error:
         audit.log_event(
             spark, lake.log, name, audit.ERROR, f"fallo: {error}", began, audit.utc_now()

@@ -37,6 +37,14 @@ class Lake:
     def gold(self) -> str:
         return f"{self.root}/gold/kpi"
 
+    @property
+    def fact_state(self) -> str:
+        return f"{self.root}/gold/kpi_state"
+
+    @property
+    def dashboard(self) -> str:
+        return f"{self.root}/gold/dashboard"
+
     @property
     def alerts(self) -> str:
         return f"{self.root}/gold/alerts"

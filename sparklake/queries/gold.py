@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparklake.operators import alerts, facts, macro, merge
+from sparklake.plans import procedures
 from sparklake.queries import views
 from sparklake.queries.registry import query
 from sparklake.schemas import GOLD_COLUMNS, GOLD_KEY
@@ -127,6 +128,23 @@ def alert_range_warm(spark, sf_dir):
     return alerts.alert_rows(_rates(spark, sf_dir), _ALERT_FROM, True, F.lit(_CALCULATED))
 
 
+@query(
+    "alerts_since_sql",
+    f"""WITH {views.LOANS_SQL}, {views.FACTS_SQL}, {_ALERTS_SQL.format(where='')}
+    SELECT r_name AS region, anio, nivel_alerta, count(*) AS alertas FROM judged
+    JOIN nation ON n_name = provincia JOIN region ON r_regionkey = n_regionkey
+    WHERE make_date(anio, mes, 1) >= DATE '{_ALERT_FROM}' GROUP BY 1, 2, 3""",
+)
+def alerts_since_sql(spark, sf_dir):
+    """Alerts as a procedure that a statement joins with other tables."""
+    procedures.define_alerts(spark, _rates(spark, sf_dir))
+    return spark.sql(
+        f"""SELECT r_name AS region, anio, nivel_alerta, count(*) AS alertas FROM alerts_since(DATE '{_ALERT_FROM}')
+        JOIN parquet.`{sf_dir}/nation.parquet` ON n_name = provincia
+        JOIN parquet.`{sf_dir}/region.parquet` ON r_regionkey = n_regionkey GROUP BY ALL"""
+    )
+
+
 @query(
     "alert_replace_range",
     f"""WITH {views.LOANS_SQL}, {views.FACTS_SQL}, {_ALERTS_SQL.format(where='')}

@@ -20,10 +20,12 @@ from sparklake.sources.payloads import (
     inflation_series,
     loan_fields,
     loan_rows,
+    loan_variants,
     series_detected,
     series_fixed,
     statistics_rows,
     unemployment_series,
+    variant_columns,
 )
 
 _PAGE = 100  # rows per response; keeps every document small
@@ -206,3 +208,34 @@ def dimension_labels(spark, sf_dir):
     return joined.groupBy("n_name", "n_nationkey", frequency_label(code).alias("periodicidad")).agg(
         F.count(F.lit(1)).alias("clientes")
     )
+
+
+@query(
+    "json_variant_rows",
+    """SELECT CAST(o_orderkey AS BIGINT) AS entidad, o_totalprice AS deuda,
+      CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS prioridad,
+      CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS BIGINT) END AS cliente,
+      CASE WHEN (o_orderkey // 100) % 2 = 0 THEN 'lista' ELSE 'objeto' END AS __periodo FROM orders""",
+)
+def json_variant_rows(spark, sf_dir):
+    """Fields that some rows nest, from one parse and one scan; other responses are malformed."""
+    orders = views.table(spark, sf_dir, "orders")
+    nested = F.struct(F.col("o_orderpriority").alias("prioridad"), F.struct(F.col("o_custkey").alias("id")).alias("cliente"))
+    row = F.struct(
+        F.col("o_orderkey").alias("entidad"),
+        F.col("o_totalprice").alias("deuda"),
+        F.when(F.col("o_orderkey") % 3 == 0, nested).alias("detalle"),
+    )
+    pages = _pages(orders, "o_orderkey", row)
+    listed = F.col("page") % 2 == 0
+    whole = F.when(listed, F.to_json("rows")).otherwise(F.concat(F.lit('{"Data":'), F.to_json("rows"), F.lit("}")))
+    kind = F.when(listed, "lista").otherwise("objeto").alias("periodo_solicitado")
+    cut = F.concat(F.lit('[{"entidad": 1, "deuda"'), F.col("page").cast("string"))
+    landed = pages.select(F.explode(F.array(whole, cut, F.lit("[7]"))).alias("body"), kind)
+    fields = {
+        "entidad": ("$.entidad", "bigint"),
+        "deuda": ("$.deuda", "double"),
+        "prioridad": ("$.detalle.prioridad", "string"),
+        "cliente": ("$.detalle.cliente.id", "bigint"),
+    }
+    return variant_columns(loan_variants(landed), fields).drop("fila")

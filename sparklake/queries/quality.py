@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparklake.operators import quality
 from sparklake.operators.cleaning import with_quality_flags
+from sparklake.plans import procedures
 from sparklake.queries import views
 from sparklake.queries.registry import query
 
@@ -183,3 +184,18 @@ def catalogue_check(spark, sf_dir):
     return joined.groupBy("c_mktsegment").agg(
         F.count(F.lit(1)).alias("filas"), F.count_if(F.col("n_name").isNull()).alias("sin_catalogo")
     )
+
+
+@query(
+    "quality_checks_sql",
+    f"""WITH {_CHECKED_SQL}, checks AS (
+      SELECT 'periodos_invalidos' AS control, CAST(periodos_invalidos AS BIGINT) AS valor, 0 AS limite FROM drift
+      UNION ALL SELECT 'importes_negativos', CAST(importes_negativos AS BIGINT), 0 FROM drift
+      UNION ALL SELECT 'diferencia_claves', CAST(diferencia_claves AS BIGINT), 100 FROM drift
+      UNION ALL SELECT 'sin_inflacion', CAST(sin_inflacion AS BIGINT), 0 FROM drift)
+    SELECT control, valor, CAST(limite AS BIGINT) AS limite, valor <= limite AS correcto FROM checks""",
+)
+def quality_checks_sql(spark, sf_dir):
+    """The checks as a procedure that is called from SQL."""
+    procedures.define_checks(spark, _silver(spark, sf_dir), _gold(spark, sf_dir), _MACRO_SINCE)
+    return spark.sql("SELECT * FROM quality_checks()")

@@ -17,7 +17,7 @@ from sparklake.plans.layout import Lake
 from sparklake.queries import views
 from sparklake.queries.registry import query
 from sparklake.queries.silver import _latest_sql
-from sparklake.schemas import ALERT_SCHEMA, GOLD_COLUMNS, GOLD_SCHEMA, LOAN_COLUMNS, REQUESTED_PERIOD, SILVER_COLUMNS, SILVER_KEY, SILVER_SCHEMA
+from sparklake.schemas import ALERT_SCHEMA, DASHBOARD_SCHEMA, GOLD_COLUMNS, GOLD_SCHEMA, LOAN_COLUMNS, REQUESTED_PERIOD, SILVER_COLUMNS, SILVER_KEY, SILVER_SCHEMA
 from sparklake.session import shared_dir
 from sparklake.sinks.csv import export_by_period, export_capture
 from sparklake.sinks.tables import read_table, write_partitions
@@ -141,8 +141,14 @@ _ALL_GOLD_SQL = views.GOLD_SQL.replace(f"DATE '{views.MACRO_SINCE}'", "DATE '198
 
 def _gold_lake(spark, sf_dir: str) -> Lake:
     """Silver written as a table, and the macro series as bronze tables."""
-    lake = _lake(spark)
+    lake = _macro_lake(spark, sf_dir)
     write_partitions(views.silver(spark, sf_dir), lake.silver, [silver.PARTITION], silver.CLUSTER)
+    return lake
+
+
+def _macro_lake(spark, sf_dir: str) -> Lake:
+    """The macro series as bronze tables."""
+    lake = _lake(spark)
     series = views.macro_standin(spark, sf_dir)
     day = F.date_format("fecha", "yyyy-MM-dd").alias("fecha")
     captured = F.lit(_CAPTURE).alias("dt_captura")
@@ -186,6 +192,33 @@ def alerts_table(spark, sf_dir):
     return read_table(spark, lake.alerts, ALERT_SCHEMA).drop("fecha_calculo", gold.ALERT_PARTITION)
 
 
+@query(
+    "dashboard_table",
+    f"""WITH {_ALL_GOLD_SQL} SELECT PROVINCIA, ANIO, MES, periodo_date, TASA_MORA AS tasa_mora,
+      TASA_MORA - lag(TASA_MORA) OVER (PARTITION BY PROVINCIA ORDER BY periodo_date) AS variacion_mensual,
+      percent_rank() OVER (PARTITION BY periodo_date ORDER BY TASA_MORA) AS percentil_nacional,
+      CASE WHEN TASA_MORA > 0.15 THEN 'ALTO' WHEN TASA_MORA > 0.08 THEN 'MEDIO' ELSE 'BAJO' END AS clasificacion_riesgo
+    FROM gold""",
+)
+def dashboard_table(spark, sf_dir):
+    """The dashboard's alert table after a full run and a second run over the last months."""
+    lake = _gold_lake(spark, sf_dir)
+    _load_twice(spark, lake)
+    return read_table(spark, lake.dashboard, DASHBOARD_SCHEMA)
+
+
+@query("gold_incremental_state", f"WITH {_ALL_GOLD_SQL} SELECT {', '.join(GOLD_COLUMNS)} FROM gold")
+def gold_incremental_state(spark, sf_dir):
+    """Gold of two appends to silver; after the second one only its own files are counted."""
+    lake = _macro_lake(spark, sf_dir)
+    rows, late = views.silver(spark, sf_dir), F.col("dt_captura") >= F.lit(dt.date(1996, 1, 1))
+    for part in (rows.where(~late), rows.where(late)):
+        silver.store(spark, part, lake.silver)
+        exact = {"scales": views.MEASURE_SCALES, "macro_scale": 2}
+        gold.load_gold(spark, lake, start=dt.date(1990, 1, 1), from_state=True, **exact)
+    return read_table(spark, lake.gold, GOLD_SCHEMA).select(*GOLD_COLUMNS)
+
+
 @query(
     "encoding_fallback",
     """SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN concat('Crédito año ', c_name) ELSE concat('Peña ñandú ', c_name) END AS entidad,

@@ -109,6 +109,18 @@ ALERT_SCHEMA = T.StructType(
         T.StructField("fecha_calculo", T.DateType()),
     ]
 )
+DASHBOARD_SCHEMA = T.StructType(
+    [
+        T.StructField("PROVINCIA", T.StringType()),
+        T.StructField("ANIO", T.LongType()),
+        T.StructField("MES", T.LongType()),
+        T.StructField("periodo_date", T.DateType()),
+        T.StructField("tasa_mora", T.DoubleType()),
+        T.StructField("variacion_mensual", T.DoubleType()),
+        T.StructField("percentil_nacional", T.DoubleType()),
+        T.StructField("clasificacion_riesgo", T.StringType()),
+    ]
+)
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("log_id", T.StringType()),
