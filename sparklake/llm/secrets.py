@@ -2,12 +2,17 @@
 
 Text is cut into tokens, which the field tags as beginning (B), inside (I) or outside (O) of a
 secret. Features are a token's shape (length, kinds of characters, how evenly they are spread),
-the shapes of the words beside it, key words before it, and how much code the file looks to hold.
-It is trained by maximum likelihood on lines around matches of the base patterns and on lines
-without, from a bounded sample, and decoded by Viterbi. Where the unary score of O exceeds the
+how much it looks like a key, the shapes of the words beside it, key words before it, and how much
+code the file looks to hold. It is decoded by Viterbi. Where the unary score of O exceeds the
 others by more than transitions can make up, O is certain and ends a chain, so that only the few
 chains between are decoded step by step; the result is that of decoding the whole text.
 
+It is trained by maximum likelihood on windows of tokens from a bounded sample: around matches of
+the base patterns, and at hashed places of whole texts. As it shall find keys that no pattern
+knows, windows with a match are learnt from three times: as they are, without the key words and
+neighbours, and without the exact shape. A token that looks like a key but that no pattern has
+matched counts as unknown, not as outside: the likelihood sums over its tags.
+
 Patterns give base spans, which always stay; tagged spans that touch no base span are added as
 ``crf``.
 
@@ -26,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.arrays import mapped, slices, text_bytes
+from sparklake.llm.arrays import mapped, mix, slices, stored, text_bytes
 
 KINDS = ["assign", "access", "hex", "crf"]
 # fixed values: the patterns and least lengths of the base kinds
@@ -37,9 +42,11 @@ KEYWORD = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 ASSIGNED = 8
 LIKELY = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]|AKIA[A-Z0-9]{12}|(?-i:[0-9a-f]{32})"
 
-SAMPLE_DOCS = 2000  # at most so many documents with base matches, and as many without, to learn from
-WINDOW = 24  # tokens on either side of a base match that are learnt from
-EPOCHS, RATE, L2 = 200, 0.5, 1e-4
+SAMPLE_DOCS = 2000  # at most so many documents that look like they have base matches, and as many of all, to learn from
+SAMPLE_WINDOWS = 1500  # at most so many windows with a match, and as many others
+DOC_WINDOWS = 16  # at most so many matches of one document have a window, those whose places hash lowest
+WINDOW = 24  # tokens on either side of a place that are learnt from
+EPOCHS, RATE, L2 = 150, 0.5, 1e-4
 O, B, I = 0, 1, 2  # noqa: E741
 
 
@@ -60,8 +67,11 @@ _CLASS[[ord(c) for c in "+/_-="]] = 4
 _CLASS[[0x20, *range(0x09, 0x0E), *map(ord, "\"'`:,;()[]{}<>")]] = 0
 
 LENGTHS = np.array([1, 4, 8, 12, 16, 20, 24, 32, 40, 64])
+LOOKS = np.array([12, 16])  # lengths from which a token of letters and digits may be a key, and looks like one
+UNKNOWN_LOOK = 2  # unlabelled tokens that look like keys at least so much may be some
 N_SHAPE = 11 * 32 * 3
 N_KEY = 3
+N_FILE = 4 * (len(LOOKS) + 1)  # a look, and how much code the file holds
 
 
 class Tokens:
@@ -84,6 +94,7 @@ class Tokens:
         n = len(self.start)
         self.shape = np.zeros(n, np.int64)
         self.key = np.zeros(n, np.int64)
+        self.look = np.zeros(n, np.int64)
         if not n:
             self.file = np.zeros(0, np.int64)
             return
@@ -99,6 +110,9 @@ class Tokens:
         seen |= (rest < size).astype(np.int64)
         share = np.where(digits * 8 < size, 0, np.where(digits * 2 < size, 1, 2))
         self.shape = (np.searchsorted(LENGTHS, size, "right") * 32 + seen) * 3 + share
+        # digits and letters, perhaps symbols of keys, nothing else
+        mixed = (seen & 4 > 0) & (seen & 3 > 0) & (seen & 16 == 0)
+        self.look = np.where(mixed, np.searchsorted(LOOKS, size, "right"), 0)
         self._keys(n)
         # a file's share of tokens with digits or key symbols, as a number from 0 to 3
         text = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.first))
@@ -127,11 +141,17 @@ class Tokens:
         first = self.first[:-1][np.diff(self.first) > 0]
         last[first] = 0
         following[(self.first[1:][np.diff(self.first) > 0]) - 1] = 0
-        kind = np.minimum(self.shape // 96, 10) * 4 + self.file
-        return [shape, last + N_SHAPE + 1, following + 2 * (N_SHAPE + 1), 3 * (N_SHAPE + 1) + self.key, 3 * (N_SHAPE + 1) + N_KEY + kind]
+        kind = self.look * 4 + self.file
+        base = 3 * (N_SHAPE + 1)
+        return [
+            shape, last + N_SHAPE + 1, following + 2 * (N_SHAPE + 1), base + self.key, base + N_KEY + kind, base + N_KEY + N_FILE + self.look,
+        ]
 
 
-N_FEATURES = 3 * (N_SHAPE + 1) + N_KEY + 44
+N_TEMPLATES = 6
+HIDDEN = 3 * (N_SHAPE + 1) + N_KEY + N_FILE + len(LOOKS) + 1  # stands for a feature that is left out; its weight stays 0
+N_FEATURES = HIDDEN + 1
+CONTEXT, EXACT = [1, 2, 3], [0]  # templates of the neighbours and key words; of the exact shape
 
 
 class Field:
@@ -178,10 +198,30 @@ class Field:
         return out
 
 
-def train(features: np.ndarray, tags: np.ndarray, real: np.ndarray) -> Field:
+def _expected(scores: np.ndarray, move: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expected tags of each token and expected moves, by forward and backward sums over padded chains."""
+    n, length, _ = scores.shape
+    forward, backward = np.empty((n, length, 3)), np.ones((n, length, 3))
+    forward[:, 0] = scores[:, 0] * move[O]
+    forward[:, 0] /= forward[:, 0].sum(axis=1, keepdims=True)
+    for t in range(1, length):
+        now = forward[:, t - 1] @ move * scores[:, t]
+        forward[:, t] = np.where(real[:, t, None], now / now.sum(axis=1, keepdims=True), forward[:, t - 1])
+    for t in range(length - 2, -1, -1):
+        now = (backward[:, t + 1] * scores[:, t + 1]) @ move.T
+        backward[:, t] = np.where(real[:, t + 1, None], now / now.sum(axis=1, keepdims=True), backward[:, t])
+    share = forward * backward
+    share /= share.sum(axis=2, keepdims=True)
+    edge = forward[:, :-1, :, None] * move * (scores[:, 1:] * backward[:, 1:])[:, :, None, :]
+    edge /= edge.sum(axis=(2, 3), keepdims=True)
+    return share * real[..., None], (edge * real[:, 1:, None, None]).sum(axis=(0, 1))
+
+
+def train(features: np.ndarray, tags: np.ndarray, real: np.ndarray, unknown: np.ndarray | None = None) -> Field:
     """Maximum likelihood over padded windows: (windows, length, templates), (windows, length).
 
-    Gradients come from the forward and backward sums; steps are scaled by their running size.
+    The tags of ``unknown`` tokens are summed over: the gradient is what the known tags let
+    expect, less what the field expects without them. Steps are scaled by their running size.
     """
     n, length, _ = features.shape
     unary, moves = np.zeros((N_FEATURES, 3)), np.zeros((3, 3))
@@ -189,32 +229,27 @@ def train(features: np.ndarray, tags: np.ndarray, real: np.ndarray) -> Field:
     gold = np.zeros((n, length, 3))
     np.put_along_axis(gold, tags[..., None].astype(np.int64), 1.0, axis=2)
     gold *= real[..., None]
-    pairs = real[:, 1:]
-    gold_moves = np.einsum("nti,ntj->ij", gold[:, :-1], gold[:, 1:])
+    partly = np.zeros(n, bool) if unknown is None else (unknown & real).any(axis=1)
+    allowed = gold[partly] if unknown is None else np.where(unknown[partly, :, None], 1.0, gold[partly])
+    known_moves = np.einsum("nti,ntj->ij", gold[~partly, :-1], gold[~partly, 1:])
     flat = features.reshape(n * length, -1)
     for _ in range(EPOCHS):
         field = Field(unary, moves)
         scores = np.exp(np.clip(field.unary[features].sum(axis=2), -30, 30))
         move = np.exp(field.moves)
-        forward, backward = np.empty((n, length, 3)), np.ones((n, length, 3))
-        forward[:, 0] = scores[:, 0] * move[O]
-        forward[:, 0] /= forward[:, 0].sum(axis=1, keepdims=True)
-        for t in range(1, length):
-            now = forward[:, t - 1] @ move * scores[:, t]
-            forward[:, t] = np.where(real[:, t, None], now / now.sum(axis=1, keepdims=True), forward[:, t - 1])
-        for t in range(length - 2, -1, -1):
-            now = (backward[:, t + 1] * scores[:, t + 1]) @ move.T
-            backward[:, t] = np.where(real[:, t + 1, None], now / now.sum(axis=1, keepdims=True), backward[:, t])
-        share = forward * backward
-        share /= share.sum(axis=2, keepdims=True)
-        edge = forward[:, :-1, :, None] * move * (scores[:, 1:] * backward[:, 1:])[:, :, None, :]
-        edge /= edge.sum(axis=(2, 3), keepdims=True)
-        wrong = (gold - share * real[..., None]).reshape(n * length, 3)
+        share, edge = _expected(scores, move, real)
+        want, want_moves = gold, known_moves
+        if partly.any():
+            want = gold.copy()
+            want[partly], more = _expected(scores[partly] * np.where(real[partly, :, None], allowed, 1.0), move, real[partly])
+            want_moves = known_moves + more
+        wrong = (want - share).reshape(n * length, 3)
         step = np.zeros_like(unary)
         for k in range(flat.shape[1]):
             for tag in range(3):
                 step[:, tag] += np.bincount(flat[:, k], weights=wrong[:, tag], minlength=N_FEATURES)
-        steps = [step / n - L2 * unary, (gold_moves - (edge * pairs[..., None, None]).sum(axis=(0, 1))) / n - L2 * moves]
+        step[HIDDEN] = 0
+        steps = [step / n - L2 * unary, (want_moves - edge) / n - L2 * moves]
         for weights, g, size in zip((unary, moves), steps, grown, strict=True):
             size += g * g
             weights += RATE * g / np.sqrt(size)
@@ -227,63 +262,102 @@ def _offsets(data: np.ndarray, base: int, stop: int) -> np.ndarray:
     return np.concatenate([[0], np.cumsum((data[base:stop] & 0xC0) != 0x80)])
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One window of tokens for each document: around its first base match, or its beginning."""
+def _place(seed: int, k: np.ndarray) -> np.ndarray:
+    """Hashes of places in a text."""
+    return mix(np.uint64(seed & 0xFFFFFFFFFFFFFFFF) + k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _tagged(tokens: Tokens, i: int, text: str, kinds: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The tags of a text's tokens by the base patterns, and the tokens that begin a match."""
+    a, b = tokens.first[i], tokens.first[i + 1]
+    tags = np.zeros(b - a, np.int64)
+    spans = [x for x in base_spans(text) if x[0] in kinds]
+    if spans:
+        at = _offsets(tokens.data, tokens.offsets[i], tokens.offsets[i + 1])
+        start = at[tokens.start[a:b] - tokens.offsets[i]]
+        end = at[tokens.end[a:b] - tokens.offsets[i]]
+        for kind, s, e in spans:
+            if kind == "assign":  # the value, not the key word
+                s = ASSIGN.match(text, s).start(2)
+            low, high = np.searchsorted(end, s, "right"), np.searchsorted(start, e, "left")
+            tags[low:high] = I
+            tags[low : low + 1] = B
+    return tags, np.flatnonzero(tags == B)
+
+
+def _examples(kinds: tuple[str, ...]):
+    """Windows of a document: around its matches, or at a hashed place of the whole text."""
     length = 2 * WINDOW
-    for batch in slices(batches, "text"):
-        tokens = Tokens(batch.column("text"))
-        features = np.stack(tokens.features(), axis=1) if len(tokens.start) else np.zeros((0, 5), np.int64)
-        ids, made, marks, found = [], [], [], []
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            a, b = tokens.first[i], tokens.first[i + 1]
-            if a == b:
-                continue
-            spans = base_spans(text)
-            tags = np.zeros(b - a, np.int64)
-            if spans:
-                at = _offsets(tokens.data, tokens.offsets[i], tokens.offsets[i + 1])
-                start = at[tokens.start[a:b] - tokens.offsets[i]]
-                end = at[tokens.end[a:b] - tokens.offsets[i]]
-                for kind, s, e in spans:
-                    if kind == "assign":  # the value, not the key word
-                        m = ASSIGN.match(text, s)
-                        s = m.start(2)
-                    own = np.flatnonzero((start < e) & (end > s))
-                    tags[own] = I
-                    tags[own[:1]] = B
-            centre = int(np.flatnonzero(tags)[0]) if tags.any() else WINDOW
-            low = max(0, min(centre - WINDOW, b - a - length))
-            own = slice(low, min(b - a, low + length))
-            ids.append(batch.column("id")[i].as_py())
-            made.append(features[a:b][own].ravel().tolist())
-            marks.append(tags[own].tolist())
-            found.append(bool(spans))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(found, pa.bool_()), pa.array(made, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))],
-            ["id", "found", "features", "tags"],
-        )
-
-
-def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE_DOCS) -> Field | None:
-    """Train on at most ``sample`` documents that look like they have base matches, and as many others.
-
-    Both are drawn over the whole table by a hash of the id; without matches, None.
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            tokens = Tokens(batch.column("text"))
+            features = np.stack(tokens.features(), axis=1) if len(tokens.start) else np.zeros((0, N_TEMPLATES), np.int64)
+            out = []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                a, b = tokens.first[i], tokens.first[i + 1]
+                if a == b:
+                    continue
+                seed = batch.column("key")[i].as_py()
+                tags, matches = _tagged(tokens, i, text, kinds)
+                unknown = (tags == O) & (tokens.look[a:b] >= UNKNOWN_LOOK)
+                if batch.column("likely")[i].as_py():
+                    order = _place(seed, matches)
+                    centres = matches[np.argsort(order, kind="stable")[:DOC_WINDOWS]]
+                else:
+                    centres = (_place(seed, np.zeros(1)) % np.uint64(b - a)).astype(np.int64)
+                for centre in centres.tolist():
+                    low = max(0, min(centre - WINDOW, b - a - length))
+                    own = slice(low, min(b - a, low + length))
+                    rank = int(_place(seed, np.array([centre + 1]))[0] >> np.uint64(1))
+                    made = (features[a:b][own].astype(np.int32), tags[own].astype(np.int8), unknown[own].astype(np.int8))
+                    out.append((rank, bool(tags[own].any()), *[x.tobytes() for x in made]))
+            types = [pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
+            columns = [pa.array([x[k] for x in out], t) for k, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "found", "features", "tags", "unknown"])
+
+    return work
+
+
+def fit(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE_DOCS, kinds: tuple[str, ...] = tuple(KINDS[:3])
+) -> Field | None:
+    """Train on windows of at most ``sample`` documents that look like they have base matches, and as many of all.
+
+    Documents are drawn over the whole table by a hash of id and text, before any text moves. Only
+    matches of ``kinds`` are labels; without any, None.
     """
-    df = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(0)).alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    order = [F.xxhash64("id"), F.col("id"), F.xxhash64("text")]
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    df = docs.select(F.xxhash64(F.col(f"`{doc_id}`"), body).alias("key"), body.alias("text"))
+    drawn = [
+        part.select("key").orderBy("key").limit(sample).withColumn("likely", F.lit(likely))
+        for part, likely in ((df.where(F.col("text").rlike(LIKELY)), True), (df, False))
+    ]
+    wanted = F.broadcast(stored(drawn[0].union(drawn[1]).distinct(), "secret-keys"))  # bounded by the sample
+    schema = "place bigint, found boolean, features binary, tags binary, unknown binary"
+    windows = stored(mapped(df.join(wanted, "key").select("key", "likely", "text"), _examples(kinds), schema).distinct(), "secret-windows")
     rows = []
-    for part in (df.where(F.col("text").rlike(LIKELY)), df):
-        lowest = part.orderBy(*order).limit(sample)
-        rows += mapped(lowest, _examples, "id bigint, found boolean, features array<bigint>, tags array<bigint>").collect()
+    for found in (True, False):
+        rows += windows.where(F.col("found") == found).orderBy("place", "features").limit(SAMPLE_WINDOWS).collect()
     if not any(r["found"] for r in rows):
         return None
     length = 2 * WINDOW
-    features = np.zeros((len(rows), length, 5), np.int64)
+    features = np.full((len(rows), length, N_TEMPLATES), HIDDEN, np.int64)
     tags, real = np.zeros((len(rows), length), np.int64), np.zeros((len(rows), length), bool)
+    unknown = np.zeros((len(rows), length), bool)
     for i, r in enumerate(rows):
-        own = np.array(r["features"], np.int64).reshape(-1, 5)
-        features[i, : len(own)], tags[i, : len(own)], real[i, : len(own)] = own, r["tags"], True
-    return train(features, tags, real)
+        own = np.frombuffer(r["features"], np.int32).reshape(-1, N_TEMPLATES)
+        k = len(own)
+        features[i, :k], tags[i, :k], real[i, :k] = own, np.frombuffer(r["tags"], np.int8), True
+        unknown[i, :k] = np.frombuffer(r["unknown"], np.int8) > 0
+    matched = np.array([r["found"] for r in rows])
+    parts = [features]
+    for hidden in (CONTEXT, EXACT):
+        part = features[matched].copy()
+        part[..., hidden] = HIDDEN
+        parts.append(part)
+    again = lambda x: np.concatenate([x, x[matched], x[matched]])
+    return train(np.concatenate(parts), again(tags), again(real), again(unknown))
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))

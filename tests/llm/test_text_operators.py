@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -293,6 +294,67 @@ def test_field_learns_the_patterns(spark, secret_rows):
     assert secrets.fit(cases.documents(spark, [(1, "no such thing"), (2, None)])) is None
 
 
+def keys_of_other_forms(rng):
+    key = lambda n: "".join(rng.choice(list("ABCDEFGHJKabcdefghjk0123456789"), n))
+    return [f"Bearer {key(40)}", f"ghp_{key(36)}", f"aws_secret_access_key {key(40)}", f"private key {key(64)}", f"authorization: {key(28)}"]
+
+
+def test_field_finds_keys_that_no_pattern_knows(spark, secret_rows):
+    rng = np.random.default_rng(8)
+    docs = cases.documents(spark, secret_rows)
+    planted, places = [], {}
+    for i in range(100):
+        secret = keys_of_other_forms(rng)[i % 5]
+        before = f"{cases.prose(40, 7000 + i)} é "
+        planted.append((i, f"{before}{secret} {cases.prose(30, 7500 + i)}"))
+        places[i] = (len(before) + secret.rfind(" ") + 1, len(before) + len(secret))
+        assert not base_spans(planted[-1][1])
+    clean = [(1000 + i, cases.prose(150, 9000 + i) + f" jo.doe.{i}@mail7.example.com 2024-01-{i % 28 + 1:02d} v1.2.{i}") for i in range(200)]
+    field = secrets.fit(docs)
+    got = {r.doc_id: r.spans for r in secrets.scan(cases.documents(spark, [*planted, *clean]), field).select("row.doc_id", "spans").collect()}
+    right = [[("crf", *places[i])] == [tuple(s) for s in got[i]] for i, _ in planted]
+    assert np.mean(right) >= 0.9, [(planted[i][1][places[i][0] - 8 : places[i][1]], got[i]) for i in range(100) if not right[i]][:5]
+    assert sum(len(got[i]) for i, _ in clean) <= 2  # ten in 1,000 clean documents
+
+
+@pytest.mark.parametrize("kind", ["access", "hex"])
+def test_field_finds_a_kind_that_it_has_not_learnt(spark, secret_rows, kind):
+    docs = cases.documents(spark, secret_rows)
+    field = secrets.fit(docs, kinds=tuple(k for k in ("assign", "access", "hex") if k != kind))
+    rows = [text for i, text in secret_rows if 1000 <= i < 1060 and base_spans(text).startswith(kind)]
+    tokens = secrets.Tokens(pa.array(rows))
+    tags = field.decode(field.scores(tokens.features()), tokens.first[:-1])
+    found = [tags[a:b].any() for a, b in zip(tokens.first[:-1], tokens.first[1:], strict=True)]
+    assert len(found) == 15 and np.mean(found) >= 0.9
+
+
+def test_windows_of_whole_texts(spark):
+    text = " ".join(f"word{'a' * (i % 7)} password={chr(97 + i % 26) * 9}{i:04d}" if i % 50 == 0 else f"plain{chr(97 + i % 26)}" for i in range(4000))
+    batch = pa.RecordBatch.from_pydict({"key": [5, 5], "likely": [True, False], "text": [text, text]})
+    (out,) = secrets._examples(("assign",))(iter([batch]))
+    assert out.num_rows == secrets.DOC_WINDOWS + 1 and len(set(out.column("place").to_pylist())) == out.num_rows
+    assert all(out.column("found").to_pylist()[:-1])
+
+
+def test_sums_over_unknown_tags():
+    """Expected tags and moves against all paths, free and with some tags known."""
+    rng = np.random.default_rng(3)
+    scores, move = rng.uniform(0.1, 2, (1, 5, 3)), rng.uniform(0.1, 2, (3, 3))
+    move[0, 2] = 0
+    for allowed in (np.ones((5, 3)), np.array([[1, 1, 1], [0, 1, 0], [1, 1, 1], [1, 0, 0], [1, 1, 1]])):
+        total, tags, moves = 0.0, np.zeros((5, 3)), np.zeros((3, 3))
+        for path in itertools.product(range(3), repeat=5):
+            w = move[0, path[0]] * np.prod([move[a, b] for a, b in zip(path, path[1:], strict=False)])
+            w *= np.prod([scores[0, t, x] * allowed[t, x] for t, x in enumerate(path)])
+            total += w
+            for t, x in enumerate(path):
+                tags[t, x] += w
+            for a, b in zip(path, path[1:], strict=False):
+                moves[a, b] += w
+        share, edge = secrets._expected(scores * allowed, move, np.ones((1, 5), bool))
+        assert np.allclose(share[0], tags / total) and np.allclose(edge, moves / total)
+
+
 # ---- 5: passages
 
 
