@@ -5,8 +5,10 @@ text. The risk is that of the positives, weighted by the class prior, plus that
 as negatives less the share that the prior says is positive; where that difference falls below
 zero, the step goes against it, which keeps the estimate from overfitting.
 
-The classifier is fitted with numpy on a bounded sample: the positives and the unlabelled texts
-whose ids hash lowest, at most POSITIVES and UNLABELLED of them. Every document is scored.
+Which features tell is decided by their rates in the confirmed texts and in all documents, counted
+on the cluster. The weights are fitted with numpy on a bounded sample: the positives and the
+unlabelled texts whose ids hash lowest, at most POSITIVES and UNLABELLED of them. Every document
+is scored.
 
 Cases: a null or empty text is scored by the bias alone; repeated rows score alike; labels that
 are null confirm nothing; a null id hashes as the empty text; other columns of both tables are
@@ -120,15 +122,15 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many positive and unlabelled texts of a batch hold each feature."""
-    for batch in batches:
-        words = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column("words")]
-        positive = batch.column("positive").to_numpy(zero_copy_only=False)
-        of = np.repeat(positive, [len(x) for x in words])
-        feature, at = np.unique(np.concatenate([*words, np.empty(0, np.int32)]), return_inverse=True)
-        held = np.bincount(at, weights=of, minlength=len(feature)).astype(np.int64)
-        others = np.bincount(at, minlength=len(feature)) - held
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (feature, held, others)], ["feature", "held", "others"])
+    """How many texts of a task hold each feature: one table of 2^BITS counters a task."""
+    held = np.zeros(1 << BITS, np.int32)
+    for batch in slices(batches, "text"):
+        feature, n = np.unique(word_features(batch.column("text"))[0], return_counts=True)
+        held[feature] += n.astype(np.int32)
+    feature = np.flatnonzero(held).astype(np.int32)
+    for a in range(0, len(feature), 1 << 16):
+        part = feature[a : a + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(held[part].astype(np.int64))], ["feature", "n"])
 
 
 def _telling(counts: DataFrame, n_p: int, n_u: int) -> DataFrame:
@@ -140,6 +142,14 @@ def _telling(counts: DataFrame, n_p: int, n_u: int) -> DataFrame:
     return counts.where(apart & (held + others >= LEAST_TEXTS)).select("feature")
 
 
+def _counts(confirmed: DataFrame, everyone: DataFrame) -> DataFrame:
+    """For each feature, how many confirmed texts (``held``) and texts of all (``others``) hold it."""
+    none = F.lit(0).cast("bigint")
+    held = mapped(confirmed.select("text"), _counted, "feature int, n bigint").select("feature", F.col("n").alias("held"), none.alias("others"))
+    others = mapped(everyone.select("text"), _counted, "feature int, n bigint").select("feature", none.alias("held"), F.col("n").alias("others"))
+    return held.union(others).groupBy("feature").agg(F.sum("held").alias("held"), F.sum("others").alias("others"))
+
+
 def _kept(features):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = features.value
@@ -184,10 +194,11 @@ def fit(
     sizes = dict(sample.groupBy("positive").count().collect())
     if not sizes.get(True):
         return None
-    counts = mapped(sample, _counted, "feature int, held bigint, others bigint")
-    counts = counts.groupBy("feature").agg(F.sum("held").alias("held"), F.sum("others").alias("others"))
-    # features that tell, and the sample's texts reduced to them: bounded by the sample's size
-    told = _telling(counts, sizes[True], max(1, sizes.get(False, 0))).collect()
+    everyone = rows.where(~held_out("id"))
+    n_u = everyone.count()
+    counts = _telling(_counts(rows.join(wanted.where("positive"), "id"), everyone), sizes[True], max(1, n_u))
+    # features that tell, and the sample's texts reduced to them: bounded by the confirmed texts' words
+    told = counts.collect()
     features = np.sort(np.array([r[0] for r in told], np.int32))
     reduced = mapped(sample, _kept(docs.sparkSession.sparkContext.broadcast(features)), "positive boolean, words binary")
     found = sorted((r[0], bytes(r[1])) for r in reduced.collect())  # the order of addition must not vary
