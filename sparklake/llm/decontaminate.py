@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparklake.llm.arrays import ALNUM, Words, mapped, slices
+from sparklake.llm.arrays import ALNUM, Words, mapped, slices, stored
 
 SAMPLE = 16  # every 16th position of a segment is kept for locating
 SHARD_BYTES = 8 << 20
@@ -118,20 +118,18 @@ class FMIndex:
 class Phrases:
     """The windows of a block of benchmark items, as numbers of words."""
 
-    def __init__(self, ids: list[str | None], items: list[str | None], width: int):
+    def __init__(self, ids: list[list[str]], items: list[str], width: int):
+        """``ids`` has, for each distinct text of ``items``, all items with that text."""
         words = Words(pa.array(items, pa.large_string()), ALNUM)
         self.known = np.unique(words.hash)
         number = np.searchsorted(self.known, words.hash) + 1
-        self.ids = sorted({x for x in ids if x is not None})
-        place = {x: i for i, x in enumerate(self.ids)}
+        self.ids = ids
         windows: dict[int, dict[tuple, set]] = {}
-        for i, item in enumerate(ids):
+        for i in range(len(items)):
             own = number[words.first[i] : words.first[i + 1]].tolist()
             size = min(width, len(own))
             for k in range(len(own) - size + 1 if own else 0):
-                of = windows.setdefault(size, {}).setdefault(tuple(own[k : k + size]), set())
-                if item is not None:
-                    of.add(place[item])
+                windows.setdefault(size, {}).setdefault(tuple(own[k : k + size]), set()).add(i)
         # by length: the windows as a matrix, and the items of each window
         self.by_length = {
             size: (
@@ -144,7 +142,7 @@ class Phrases:
         self.shortest = min(windows, default=0)
 
     def find(self, words: Words) -> tuple[np.ndarray, dict[int, set]]:
-        """Which words lie in an occurrence, and the items (by number) of each text."""
+        """Which words lie in an occurrence, and the benchmark texts (by number) of each text."""
         hit, items = np.zeros(len(words) + 1, np.int64), {}
         if not self.by_length or not len(words):
             return hit[:-1] > 0, items
@@ -211,7 +209,7 @@ def _search(block, schema: pa.DataType):
             found = []
             for i, old in enumerate(batch.column("found").to_pylist()):
                 mine = _merged(spans.get(i, []) + [(x["start"], x["end"]) for x in old["spans"]] if old else spans.get(i, []))
-                listed = {phrases.ids[x] for x in items.get(i, ())} | set(old["items"] if old else ())
+                listed = set(old["items"] if old else ()).union(*(phrases.ids[x] for x in items.get(i, ())))
                 found.append(
                     {
                         "spans": [{"start": a, "end": b} for a, b in mine],
@@ -240,12 +238,17 @@ def annotate(
 
     Returns ``row`` (a struct of all columns but the text), ``text`` and ``found``: ``spans``
     (word ranges, end exclusive, merged), ``n_words``, ``n_hit`` and the sorted ids of
-    ``items``. The benchmark goes to the executors in blocks of at most about ``block_bytes``
-    of text, one pass over the stage's rows for each, so nothing unbounded is broadcast.
+    ``items``. Items with the same text are one to the search. The benchmark's distinct texts and
+    their ids go to the executors in blocks of about ``block_bytes``, one pass over the stage's rows
+    for each; the rows are written after each block but the last, and the block is freed before the
+    next one comes, so driver and workers hold one block at a time.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("item"))
-    size = items.agg(F.sum(F.octet_length("item"))).first()[0] or 0
+    items = benchmark.select(
+        F.col(f"`{item_id}`").cast("string").alias("id"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("item")
+    )
+    items = stored(items.groupBy("item").agg(F.sort_array(F.collect_set("id")).alias("ids")), "benchmark-texts")
+    size = items.agg(F.sum(F.octet_length("item") + F.octet_length(F.array_join("ids", ",")))).first()[0] or 0
     blocks = 1 + int(size) // block_bytes
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("_none")]
     schema = f"struct<{FOUND.replace(' array', ':array').replace(' bigint', ':bigint')}>"
@@ -264,8 +267,11 @@ def annotate(
     )
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect()
-        phrases = Phrases([x[0] for x in rows], [x[1] for x in rows], width)
-        df = mapped(df, _search(spark.sparkContext.broadcast(phrases), arrow), df.schema)
+        block = spark.sparkContext.broadcast(Phrases([x["ids"] for x in rows], [x["item"] for x in rows], width))
+        df = mapped(df, _search(block, arrow), df.schema)
+        if k + 1 < blocks:
+            df = stored(df, "benchmark-block")
+            block.destroy()
     return df
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -671,3 +672,64 @@ def test_toxicity_on_held_out_rows(spark, none):
     assert {r.score for r in toxicity.op10(docs, labels.limit(0)).collect()} == {0.0}
     assert toxicity.op10(none, labels).collect() == []
     assert toxicity.clean(docs, labels).columns == docs.columns
+
+
+def test_risk_and_gradient_equal_plain_python():
+    """The weights after training against the same steps written out text by text."""
+    rng = np.random.default_rng(12)
+    texts = [sorted(rng.choice(6, rng.integers(0, 5), replace=False).tolist()) for _ in range(24)]
+    positive = [i % 4 == 0 for i in range(24)]
+    prior = 0.3
+    first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    index = np.array([x for t in texts for x in t])
+    got = toxicity.train(np.arange(6) + 100, index, first, np.array(positive), prior)
+
+    sigmoid = lambda m: 1 / (1 + math.exp(-m))
+    n_p, n_u = sum(positive), 24 - sum(positive)
+    w, m1, m2 = [0.0] * 6 + [math.log(prior / (1 - prior))], [0.0] * 7, [0.0] * 7
+    turned = 0
+    for step in range(1, toxicity.EPOCHS + 1):
+        margins = [sum(w[x] for x in t) + w[6] for t in texts]
+        loss = [math.log1p(math.exp(m)) for m in margins]
+        rest = sum(x for x, p in zip(loss, positive, strict=True) if not p) / n_u - prior * sum(x for x, p in zip(loss, positive, strict=True) if p) / n_p
+        g = [0.0] * 7
+        for t, m, p in zip(texts, margins, positive, strict=True):
+            if rest >= 0:
+                d = prior * (sigmoid(m) - 1) / n_p - prior * sigmoid(m) / n_p if p else sigmoid(m) / n_u
+            else:  # against the part that has fallen below zero
+                d = prior * sigmoid(m) / n_p if p else -sigmoid(m) / n_u
+            for x in [*t, 6]:
+                g[x] += d
+        turned += rest < 0
+        for x in range(6):
+            g[x] += toxicity.RIDGE / n_p * w[x]
+        for x in range(7):
+            m1[x] = 0.9 * m1[x] + 0.1 * g[x]
+            m2[x] = 0.999 * m2[x] + 0.001 * g[x] ** 2
+            w[x] -= toxicity.RATE * (m1[x] / (1 - 0.9**step)) / (math.sqrt(m2[x] / (1 - 0.999**step)) + 1e-8)
+    assert np.allclose([*got.weights, got.bias], w, rtol=1e-6, atol=1e-8)
+
+
+def test_features_are_counted_over_all_documents(spark):
+    rows = [(i, f"foul{i % 3} word") for i in range(40)] + [(50, None), (51, "foul0")]
+    everyone = spark.createDataFrame(rows, "id int, text string").selectExpr("id", "coalesce(text, '') AS text").repartition(3)
+    got = {r.feature: (r.held, r.others) for r in toxicity._counts(everyone.where("id % 10 = 0"), everyone).collect()}
+    want = Counter(), Counter()
+    for i, text in rows:
+        for feature in toxicity.word_features(pa.array([text or ""]))[0].tolist():
+            want[1][feature] += 1
+            want[0][feature] += i % 10 == 0
+    assert got == {f: (want[0][f], n) for f, n in want[1].items()}
+
+
+@pytest.mark.parametrize("block", [1 << 24, 40])
+def test_equal_benchmark_texts_are_one(spark, block):
+    rows = cases.texts()[:30]
+    item = " ".join(rows[0][1].split()[:30])
+    items = [(f"i{k:03d}", item) for k in range(200)] + [(None, item), ("x", "no such words at all")]
+    bench = spark.createDataFrame(items, "`item.id` string, `a text` string")
+    docs = cases.documents(spark, rows)
+    found = decontaminate.annotate(docs, bench, item_id="item.id", item_text="a text", block_bytes=block).select("row.doc_id", "found.items", "found.n_hit")
+    got = {r.doc_id: r for r in found.collect()}
+    assert got[0]["items"] == [f"i{k:03d}" for k in range(200)] and got[0].n_hit >= 30
+    assert got[3]["items"] == []
