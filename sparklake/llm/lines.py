@@ -8,8 +8,9 @@ from which they leave as it falls. A filter answers "perhaps" for a few other ke
 the corpus holds are listed beside it as ``doubts``, found by asking the filter for every key of
 its shard. Filter and list together answer exactly for every line of the corpus.
 
-Cleaning probes filters in each task while they fit in a documented size; beyond it, the lines
-are joined with the exact table instead. Both ways give the same rows.
+Cleaning probes all filters in each task while they fit in a documented size. Beyond it the lines
+go to their shards, where a task holds one filter at a time and lines stream past it; shards with
+a hot line are dealt in parts. Both ways ask the same filters and give the same rows.
 
 Cases: a null or empty text is one empty line; a line of white space has the empty key, which is
 too short to count; a line that a document repeats counts once for it; repeated rows count as
@@ -33,6 +34,8 @@ from sparklake.llm.arrays import mapped, prepare, slices, stored, with_row
 SPACE = " \t\n\x0b\x0c\r"
 KEYS_PER_SHARD = 200_000
 FILTER_BYTES = 32 << 20  # filters and doubts that cleaning may send to the executors
+ROWS_PER_PART = 4_000_000  # lines of a shard that one task probes
+MOST_HOT = 100_000  # shards in parts; they are broadcast, at 12 bytes each
 SLOTS = 4  # fingerprints in a bucket
 KICKS = 500
 
@@ -168,13 +171,19 @@ def _filter_of(threshold: int):
         made = CuckooFilter.of(known[frequent])
         doubts = rows["digest"][made.has(known) & ~frequent]
         return pd.DataFrame(
-            {"shard": [key[0]], "filter": [made.table.tobytes()], "doubts": [b"".join(doubts)], "keys": [int(frequent.sum())]}
+            {
+                "shard": [key[0]],
+                "filter": [made.table.tobytes()],
+                "doubts": [b"".join(doubts)],
+                "keys": [int(frequent.sum())],
+                "held": [int(rows["docs"].sum())],
+            }
         )
 
     return work
 
 
-FILTERS = "shard int, filter binary, doubts binary, keys bigint"
+FILTERS = "shard int, filter binary, doubts binary, keys bigint, held bigint"
 
 
 def shards_for(counts: DataFrame) -> int:
@@ -183,7 +192,7 @@ def shards_for(counts: DataFrame) -> int:
 
 
 def filters(counts: DataFrame, threshold: int, shards: int) -> DataFrame:
-    """One row a shard: the cuckoo filter of its frequent keys, and its doubts."""
+    """One row a shard: the cuckoo filter of its frequent keys, its doubts, and how often its keys are held."""
     return counts.withColumn("shard", _shard(shards)).groupBy("shard").applyInPandas(_filter_of(threshold), FILTERS)
 
 
@@ -199,7 +208,13 @@ def _filter_changed(threshold: int):
             made = CuckooFilter.of(known[now])
         doubts = rows["digest"][made.has(known) & ~now & (rows["after"] > 0).to_numpy()]
         return pd.DataFrame(
-            {"shard": [key[0]], "filter": [made.table.tobytes()], "doubts": [b"".join(doubts)], "keys": [int(now.sum())]}
+            {
+                "shard": [key[0]],
+                "filter": [made.table.tobytes()],
+                "doubts": [b"".join(doubts)],
+                "keys": [int(now.sum())],
+                "held": [int(rows["after"].sum())],
+            }
         )
 
     return work
@@ -270,6 +285,54 @@ def _text_keys(least: int):
     return work
 
 
+def _probe_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines sorted by shard and part, where each part's filter comes first."""
+    place, cuckoo, doubts = None, None, set()
+    for batch in batches:
+        places = list(zip(batch.column("shard").to_pylist(), batch.column("part").to_pylist(), strict=True))
+        ends = [i for i in range(1, len(places)) if places[i] != places[i - 1]]
+        for a, b in zip([0, *ends], [*ends, len(places)], strict=True):
+            if a == b:
+                continue
+            if places[a] != place:
+                place, cuckoo, doubts = places[a], None, set()
+            table = batch.column("filter")[a].as_py()
+            if table is not None:
+                listed = batch.column("doubts")[a].as_py()
+                cuckoo = CuckooFilter(np.frombuffer(table, np.uint16).reshape(-1, SLOTS))
+                doubts = {listed[i : i + 16] for i in range(0, len(listed), 16)}
+                a += 1
+            if cuckoo is None or a == b:
+                continue
+            digest = batch.column("digest").slice(a, b - a).to_pylist()
+            hit = [i for i in np.flatnonzero(cuckoo.has(_key64(digest))).tolist() if digest[i] not in doubts]
+            of = batch.column("of").slice(a, b - a).take(pa.array(hit, pa.int64()))
+            yield pa.RecordBatch.from_arrays([of, pa.array([digest[i] for i in hit], pa.binary())], ["of", "digest"])
+
+
+def _frequent_among(held: DataFrame, made: DataFrame, shards: int) -> DataFrame:
+    """The rows (of, digest) whose key is frequent, each probed in the filter of its shard.
+
+    A shard whose keys are held more than ROWS_PER_PART times is dealt in parts, each with the
+    filter. At most MOST_HOT shards can be: above that, parts grow with the corpus instead.
+    """
+    total = made.agg(F.sum("held")).first()[0] or 0
+    most = max(ROWS_PER_PART, total // MOST_HOT)
+    parts = F.ceil(F.col("held") / most).cast("int")
+    hot = made.where(F.col("held") > most).select("shard", parts.alias("parts"))
+    asked = (
+        held.withColumn("shard", _shard(shards))
+        .join(F.broadcast(hot), "shard", "left")
+        .withColumn("part", F.pmod(F.xxhash64("of"), F.coalesce("parts", F.lit(1))).cast("int"))
+    )
+    answers = made.where("keys > 0").withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    both = answers.select("shard", "part", "filter", "doubts").unionByName(
+        asked.select("shard", "part", "of", "digest"), allowMissingColumns=True
+    )
+    placed = both.repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("filter").isNull())
+    return mapped(placed, _probe_shards, "of binary, digest binary")
+
+
 def _drop(least: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -310,10 +373,9 @@ def clean(
     if size <= filter_bytes:
         frequent = spark.sparkContext.broadcast(Frequent(made.collect(), shards))
         return mapped(df, _probe(frequent, least), with_row(df, _KEPT))
-    # too many for that: the exact table decides, line by line, once for each distinct text
+    # too many for that: each line asks its shard's filter, once for each distinct text
     held = mapped(df.select("text"), _text_keys(least), "of binary, digest binary").distinct()
-    hits = held.join(counts.where(F.col("docs") >= threshold).select("digest"), "digest")
-    hits = hits.groupBy("of").agg(F.collect_list("digest").alias("frequent"))
+    hits = _frequent_among(held, made, shards).groupBy("of").agg(F.collect_list("digest").alias("frequent"))
     rows = mapped(df, _text_digest, with_row(df, "text string, of binary")).join(hits, "of", "left")
     return mapped(rows.select("row", "text", "frequent"), _drop(least), with_row(df, _KEPT))
 
