@@ -510,6 +510,37 @@ def test_line_dedup(spark, none, size):
     assert lines.op7(none).collect() == []
 
 
+@pytest.mark.parametrize("most", [1, 4, 1000])
+def test_lines_ask_the_filter_of_their_shard(spark, monkeypatch, most):
+    """Shards of few keys, dealt in parts where their lines are held more than ``most`` times."""
+    monkeypatch.setattr(lines, "KEYS_PER_SHARD", 30)
+    monkeypatch.setattr(lines, "ROWS_PER_PART", most)
+    rows = line_rows() + [(4000 + i, f"everywhere\nown line {i}") for i in range(120)]
+    docs = cases.documents(spark, rows)
+    counts = lines.insert(None, docs).cache()
+    shards = lines.shards_for(counts)
+    made = lines.filters(counts, 10, shards).cache()
+    assert shards > 3 and {r.held > 120 for r in made.collect()} == {True, False}
+    got = lines.clean(docs, counts, filter_bytes=0).select("row.doc_id", "kept.n_lines", "kept.n_dropped", F.sha2("kept.text", 256))
+    assert sorted(map(tuple, got.collect())) == kept_lines(rows)
+
+
+def test_probing_leaves_out_doubts_and_shards_without_a_filter():
+    """Batches that cut a shard's lines, a shard without frequent keys, and a key the filter is wrong about."""
+    keys = [bytes([i]) * 16 for i in range(1, 60)]
+    frequent, doubt = keys[:20], keys[5]
+    table = lines.CuckooFilter.of(lines._key64(frequent)).table.tobytes()
+    rows = [(2, 0, table, doubt, None, None)] + [(2, 0, None, None, b"a", k) for k in keys]
+    rows = [(1, 0, None, None, b"b", keys[0])] + rows + [(2, 1, None, None, b"c", keys[0])]
+    names = ["shard", "part", "filter", "doubts", "of", "digest"]
+    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    cut = [rows[i : i + 7] for i in range(0, len(rows), 7)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[j] for r in c], kinds[j]) for j in range(6)], names) for c in cut]
+    got = [(r["of"], r["digest"]) for b in lines._probe_shards(iter(batches)) for r in b.to_pylist()]
+    sure = {(b"a", k) for k in frequent if k != doubt}
+    assert sure <= set(got) and (b"a", doubt) not in got and {of for of, _ in got} == {b"a"}
+
+
 def test_line_counts_are_reversible(spark):
     rows = line_rows()
     some, rest = rows[:70], rows[70:]
