@@ -19,6 +19,7 @@ from sparklake.queries.registry import query
 from sparklake.queries.silver import _latest_sql
 from sparklake.schemas import ALERT_SCHEMA, DASHBOARD_SCHEMA, GOLD_COLUMNS, GOLD_SCHEMA, LOAN_COLUMNS, REQUESTED_PERIOD, SILVER_COLUMNS, SILVER_KEY, SILVER_SCHEMA
 from sparklake.session import shared_dir
+from sparklake.sinks.clustering import write_clustered
 from sparklake.sinks.csv import export_by_period, export_capture
 from sparklake.sinks.tables import read_table, write_partitions
 from sparklake.sources import files
@@ -287,3 +288,25 @@ def lineage_columns(spark, sf_dir):
     return per_file.groupBy(path_date(F.col("archivo_origen")).alias("dt_captura")).agg(
         F.sum("filas").alias("filas")
     )
+
+
+@query(
+    "clustered_filters",
+    """
+    SELECT 'day' AS filtered, COUNT(*) AS n, CAST(SUM(l_linenumber) AS BIGINT) AS lines FROM lineitem
+    WHERE l_shipdate >= DATE '1995-03-01' AND l_shipdate < DATE '1995-04-01'
+    UNION ALL
+    SELECT 'part', COUNT(*), CAST(SUM(l_linenumber) AS BIGINT) FROM lineitem WHERE l_partkey BETWEEN 20 AND 40
+    """,
+)
+def clustered_filters(spark, sf_dir: str) -> DataFrame:
+    """A table clustered by two columns, read by a filter on either."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_shipdate", "l_partkey", "l_linenumber")
+    path = shared_dir(spark, "clustered")
+    write_clustered(rows, path, ["l_shipdate", "l_partkey"], 16)
+    table = spark.read.schema(rows.schema).parquet(path)
+    day = table.where("l_shipdate >= DATE '1995-03-01' AND l_shipdate < DATE '1995-04-01'")
+    part = table.where("l_partkey BETWEEN 20 AND 40")
+    told = [F.count("*").alias("n"), F.sum("l_linenumber").cast("bigint").alias("lines")]
+    one, two = (x.agg(*told).select(F.lit(name).alias("filtered"), "n", "lines") for name, x in (("day", day), ("part", part)))
+    return one.union(two)
