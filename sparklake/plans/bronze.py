@@ -13,7 +13,7 @@ from sparklake.operators.normalize import align_columns
 from sparklake.plans.layout import Lake
 from sparklake.schemas import EXPECTED_COLUMNS, MACRO_COLUMNS
 from sparklake.sinks import audit, ledger
-from sparklake.sinks.tables import write_partitions, write_told
+from sparklake.sinks.tables import write_one, write_told
 from sparklake.sources import files
 from sparklake.sources.landing import CAPTURE_DATE, SOURCE_FILE, read_captures
 
@@ -59,7 +59,7 @@ def load_macro(spark: SparkSession, lake: Lake, dataset: str) -> int | None:
     rows = macro_frame(spark, landing, dataset, captures[-1])
     if rows.isEmpty():
         return None
-    return write_partitions(rows, lake.macro_bronze(dataset), [CAPTURE_DATE])
+    return write_one(rows, lake.macro_bronze(dataset), CAPTURE_DATE, captures[-1])
 
 
 @audit.job

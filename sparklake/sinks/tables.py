@@ -85,6 +85,19 @@ def write_partitions(
     return write_told(df, path, partition_by, sort_by, mode, prefix)["rows"]
 
 
+def write_one(df: DataFrame, path: str, partition: str, value) -> int:
+    """Replace the one partition that all rows of ``df`` belong to; returns the number of rows written.
+
+    The tasks that make the rows write them as they come. With a constant for the partition column
+    Spark neither shuffles nor sorts, so a task holds no more than the row at hand.
+    """
+    metrics = Observation()
+    counted = df.drop(partition).observe(metrics, F.count(F.lit(1)).alias("rows"))
+    writer = counted.withColumn(partition, F.lit(value)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    return told_by(metrics).get("rows", 0)
+
+
 def write_told(
     df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, mode: str, prefix: str | None = None
 ) -> dict:
