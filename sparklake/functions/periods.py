@@ -9,14 +9,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Accepted spellings of a month: name -> (shape, Spark date pattern). The shape is tested
-# first because a failed parse costs a Java exception and a failed match does not.
+# Accepted spellings of a month: name -> (shape, the same in ISO form). The shape is tested first
+# because a failed parse costs a Java exception and a failed match does not. A cast reads the ISO form
+# several times faster than a date pattern.
 _SPELLINGS = {
-    "%Y-%m": (r"^\d{4}-\d{1,2}$", "yyyy-M"),
-    "%Y/%m": (r"^\d{4}/\d{1,2}$", "yyyy/M"),
-    "%m/%Y": (r"^\d{1,2}/\d{4}$", "M/yyyy"),
-    "%Y%m": (r"^\d{6}$", "yyyyMM"),
-    "%Y-%m-%d": (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    "%Y-%m": (r"^\d{4}-\d{1,2}$", lambda c: c),
+    "%Y/%m": (r"^\d{4}/\d{1,2}$", lambda c: F.translate(c, "/", "-")),
+    "%m/%Y": (r"^\d{1,2}/\d{4}$", lambda c: F.concat(F.substring(c, -4, 4), F.lit("-"), F.substring_index(c, "/", 1))),
+    "%Y%m": (r"^\d{6}$", lambda c: F.concat(F.substring(c, 1, 4), F.lit("-"), F.substring(c, 5, 2))),
+    "%Y-%m-%d": (r"^\d{4}-\d{1,2}-\d{1,2}$", lambda c: c),
 }
 ONE_FORMAT = ("%Y-%m",)
 THREE_FORMATS = ("%Y-%m", "%Y/%m", "%m/%Y")
@@ -28,8 +29,8 @@ def parse_period(c: Column, formats: tuple[str, ...] = ONE_FORMAT) -> Column:
     """First of the month for the first spelling in ``formats`` that fits, else NULL."""
     attempts = []
     for name in formats:
-        shape, pattern = _SPELLINGS[name]
-        attempts.append(F.when(c.rlike(shape), F.try_to_date(c, pattern)))
+        shape, iso = _SPELLINGS[name]
+        attempts.append(F.when(c.rlike(shape), iso(c).try_cast("date")))
     return F.coalesce(*attempts) if len(attempts) > 1 else attempts[0]
 
 

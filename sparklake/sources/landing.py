@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -24,7 +25,7 @@ def path_date_text(path: Column) -> Column:
 
 
 def path_date(path: Column) -> Column:
-    return F.to_date(path_date_text(path), "yyyy-MM-dd")
+    return path_date_text(path).cast("date")
 
 
 def csv_reader(spark, encoding: str = "UTF-8", sep: str = ","):
@@ -88,10 +89,13 @@ def read_files(spark: SparkSession, paths: list[str], encoding: str = "auto") ->
     """Rows of landing files, whose columns and encodings may differ, with their capture date.
 
     Files with the same header line are scanned together and the scans are stacked by the
-    names of their columns. One job on the executors reads the first lines.
+    names of their columns. One job on the executors reads the first lines. The date of a single
+    capture is a constant, which no row has to find in its path.
     """
     raw = concat_pieces([read_text_csv(spark, same, encoding) for same in by_header(spark, paths)])
-    return raw.withColumn(CAPTURE_DATE, path_date(F.col(SOURCE_FILE)))
+    days = {found[1] if (found := re.search(_PATH_DATE, p)) else None for p in paths}
+    one = days.pop() if len(days) == 1 else None
+    return raw.withColumn(CAPTURE_DATE, F.lit(dt.date.fromisoformat(one)) if one else path_date(F.col(SOURCE_FILE)))
 
 
 def concat_pieces(pieces: list[DataFrame]) -> DataFrame:
