@@ -10,6 +10,8 @@ from helpers import DAY, land, landing_line
 
 from sparklake.operators.dedup import SPREAD, latest_per_key
 from sparklake.plans import silver
+from sparklake.plans.layout import Lake
+from sparklake.queries import storage
 from sparklake.schemas import SILVER_COLUMNS, SILVER_SCHEMA
 from sparklake.sinks import tables
 from sparklake.sinks.tables import read_table
@@ -75,3 +77,29 @@ def test_shuffle_files_go_with_their_job(spark, lake):
 def _shuffle_files(spark):
     found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return [f for i in range(found.size()) if (f := found.apply(i)).getName().startswith("shuffle_")]
+
+
+def _landed(spark, tmp_path, name, **how):
+    """What a query lands, by capture: the rows, and the number of files."""
+    lake = Lake(str(tmp_path / name))
+    storage._land_by_year(spark, "/root/testdata/sf0.001", lake, **how)
+    dates = files.capture_dates(spark, lake.loans_landing)
+    rows = read_captures(spark, lake.loans_landing, dates).drop("archivo_origen").collect()
+    held = [len(files.data_files(spark, f"{lake.loans_landing}/dt={d}")) for d in dates]
+    return sorted(str(sorted(r.asDict().items(), key=str)) for r in rows), held
+
+
+def test_a_stream_finds_few_files_a_capture(spark, tmp_path):
+    """Each task of the join left a file for every capture; a stream takes some files at a time."""
+    changed = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        rows, held = _landed(spark, tmp_path, "join", harvest=True)
+        gathered, few = _landed(spark, tmp_path, "few", harvest=True, gathered=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert gathered == rows and len(rows) > 5000
+    assert max(few) <= SPREAD < min(held) and sum(few) > 8  # still several micro-batches of eight
