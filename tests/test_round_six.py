@@ -6,17 +6,19 @@ import datetime as dt
 import time
 from pathlib import Path
 
+import pytest
 from helpers import DAY, land, landing_line
 
 from sparklake.operators.dedup import SPREAD, latest_per_key
 from sparklake.plans import silver
 from sparklake.plans.layout import Lake
-from sparklake.queries import storage
+from sparklake.queries import jobs, storage
 from sparklake.schemas import SILVER_COLUMNS, SILVER_SCHEMA
 from sparklake.sinks import tables
 from sparklake.sinks.tables import read_table
 from sparklake.sources import files
 from sparklake.sources.landing import read_captures
+from sparklake.streaming.dedup import each_once
 
 
 def _odd_captures(lake):
@@ -103,3 +105,28 @@ def test_a_stream_finds_few_files_a_capture(spark, tmp_path):
             spark.conf.set(k, v)
     assert gathered == rows and len(rows) > 5000
     assert max(few) <= SPREAD < min(held) and sum(few) > 8  # still several micro-batches of eight
+
+
+class _Landed(Exception):
+    pass
+
+
+def test_the_append_stream_finds_few_files_and_keeps_its_state_off_the_heap(spark, monkeypatch):
+    held = []
+
+    def landed(spark, landing, *args, **named):
+        held.extend(len(files.data_files(spark, f"{landing}/dt={d}")) for d in files.capture_dates(spark, landing))
+        raise _Landed
+
+    monkeypatch.setattr(jobs, "start_append_stream", landed)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        with pytest.raises(_Landed):
+            jobs.stream_dedup_state(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(held) == 7 and 1 < max(held) <= SPREAD  # one write of a single task left one file a capture before
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    digest = each_once(spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "v string, t timestamp"), "t", "1 day")
+    assert "unhex(sha2" in digest._jdf.queryExecution().logical().toString()
