@@ -111,6 +111,10 @@ class _Landed(Exception):
     pass
 
 
+def _no_stream(*args, **named):
+    raise _Landed
+
+
 def test_the_append_stream_finds_few_files_and_keeps_its_state_off_the_heap(spark, monkeypatch):
     held = []
 
@@ -130,3 +134,13 @@ def test_the_append_stream_finds_few_files_and_keeps_its_state_off_the_heap(spar
     assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     digest = each_once(spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "v string, t timestamp"), "t", "1 day")
     assert "unhex(sha2" in digest._jdf.queryExecution().logical().toString()
+
+
+def test_a_capture_is_dealt_before_it_becomes_text(spark, monkeypatch):
+    plans, text = [], storage._landed_text
+    monkeypatch.setattr(jobs, "_landed_text", lambda rows, *keep: plans.append(rows) or text(rows, *keep), raising=False)
+    monkeypatch.setattr(jobs, "start_silver_stream", _no_stream)
+    with pytest.raises(_Landed):
+        jobs.stream_log_rows(spark, "/root/testdata/sf0.001")
+    assert "RepartitionByExpression" in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert dict(plans[0].dtypes)["deuda"] == "double"
