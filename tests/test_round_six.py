@@ -10,14 +10,14 @@ import pytest
 from helpers import DAY, land, landing_line
 
 from sparklake.operators.dedup import SPREAD, latest_per_key
-from sparklake.plans import silver
+from sparklake.plans import bronze, refresh, silver
 from sparklake.plans.layout import Lake
 from sparklake.queries import jobs, storage
 from sparklake.schemas import SILVER_COLUMNS, SILVER_SCHEMA
-from sparklake.sinks import tables
+from sparklake.sinks import audit, tables
 from sparklake.sinks.tables import read_table
 from sparklake.sources import files
-from sparklake.sources.landing import read_captures
+from sparklake.sources.landing import read_captures, read_partitioned
 from sparklake.streaming.dedup import each_once
 
 
@@ -144,3 +144,13 @@ def test_a_capture_is_dealt_before_it_becomes_text(spark, monkeypatch):
         jobs.stream_log_rows(spark, "/root/testdata/sf0.001")
     assert "RepartitionByExpression" in plans[0]._jdf.queryExecution().optimizedPlan().toString()
     assert dict(plans[0].dtypes)["deuda"] == "double"
+
+
+def test_silver_from_bronze_moves_its_rows_once(spark, lake):
+    land(lake.loans_landing, "2024-03-01", [landing_line(periodo=m, entidad=f"E{i % 9}", deuda=str(i)) for i in range(90) for m in ("2024-01", "2024-02")])
+    bronze.load_loans(spark, lake)
+    plan = silver.from_bronze(read_partitioned(spark, lake.loans_bronze), None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "hashpartitioning(periodo_ym" in plan
+    assert silver.load_from_bronze(spark, lake) == 18
+    assert {r.deuda for r in read_table(spark, lake.silver, SILVER_SCHEMA).collect()} == {float(i) for i in range(9)}
+    assert silver.load_from_bronze(spark, lake) == 0
