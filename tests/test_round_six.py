@@ -154,3 +154,16 @@ def test_silver_from_bronze_moves_its_rows_once(spark, lake):
     assert silver.load_from_bronze(spark, lake) == 18
     assert {r.deuda for r in read_table(spark, lake.silver, SILVER_SCHEMA).collect()} == {float(i) for i in range(9)}
     assert silver.load_from_bronze(spark, lake) == 0
+
+
+def test_a_refresh_leaves_no_shuffle_files(spark, lake):
+    land(lake.loans_landing, "2024-03-01", [landing_line(entidad=f"E{i}", deuda=str(i)) for i in range(50)])
+    bronze.load_loans(spark, lake)
+    before = {f.getName() for f in _shuffle_files(spark)}
+    refresh.run_refresh(spark, lake, start=dt.date(2024, 1, 1))
+    for _ in range(50):
+        left = {f.getName() for f in _shuffle_files(spark)} - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert left == set()
