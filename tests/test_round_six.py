@@ -167,3 +167,17 @@ def test_a_refresh_leaves_no_shuffle_files(spark, lake):
             break
         time.sleep(0.2)
     assert left == set()
+
+
+def test_a_load_without_news_leaves_its_log_and_no_shuffle_files(spark, lake):
+    _odd_captures(lake)
+    before = {f.getName() for f in _shuffle_files(spark)}
+    assert silver.load_from_landing(spark, lake) == 42 and silver.load_from_landing(spark, lake) is None
+    log = sorted((r.status, r.rows_processed) for r in audit.read_log(spark, lake.log).collect() if r.status in ("SUCCESS", "NO_NEW_DATA"))
+    assert log == [("NO_NEW_DATA", None), ("SUCCESS", 42)]
+    for _ in range(50):
+        left = {f.getName() for f in _shuffle_files(spark)} - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert left == set()
